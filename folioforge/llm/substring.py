@@ -145,16 +145,16 @@ def dedup(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS, text
 SQL = r"""
 WITH marked AS (
   SELECT doc_id, text, string_split(regexp_replace(regexp_replace(text, '(\n|[.!?][ \t\r\f\v]+)', '\1' || chr(1), 'g'), '([ \t\r\f\v])([A-ZÀ-ÖØ-ÞΑ-ΩЀ-Я])', '\1' || chr(1) || '\2', 'g'), chr(1)) AS parts FROM documents),
-exploded AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS at FROM marked),
-placed AS (SELECT doc_id, part, at, sum(length(part)) OVER (PARTITION BY doc_id ORDER BY at) - length(part) AS begin_at, regexp_extract_all(lower(part), '[\p{L}\p{N}_]+') AS w FROM exploded),
-worded AS (SELECT p.doc_id, p.begin_at, len(p.w) AS words, array_to_string(p.w, ' ') AS norm, row_number() OVER (PARTITION BY p.doc_id ORDER BY p.at) AS unit,
-  coalesce(lead(p.begin_at) OVER (PARTITION BY p.doc_id ORDER BY p.at), length(d.text)) AS end_at
+exploded AS (SELECT doc_id, unnest(parts) AS part, generate_subscripts(parts, 1) AS nr FROM marked),
+placed AS (SELECT doc_id, part, nr, sum(length(part)) OVER (PARTITION BY doc_id ORDER BY nr) - length(part) AS begin_at, regexp_extract_all(lower(part), '[\p{L}\p{N}_]+') AS w FROM exploded),
+worded AS (SELECT p.doc_id, p.begin_at, len(p.w) AS words, array_to_string(p.w, ' ') AS norm, row_number() OVER (PARTITION BY p.doc_id ORDER BY p.nr) AS unit,
+  coalesce(lead(p.begin_at) OVER (PARTITION BY p.doc_id ORDER BY p.nr), length(d.text)) AS end_at
   FROM placed p JOIN documents d USING (doc_id) WHERE len(p.w) > 0),
 ranked AS (SELECT *, row_number() OVER (PARTITION BY norm ORDER BY doc_id, unit) AS occurrence FROM worded),
 again AS (SELECT *, unit - row_number() OVER (PARTITION BY doc_id ORDER BY unit) AS island FROM ranked WHERE occurrence > 1),
 runs AS (SELECT doc_id, min(begin_at) AS b, max(end_at) AS e FROM again GROUP BY doc_id, island HAVING sum(words) >= 20),
 spans AS (SELECT doc_id, list(CAST(b AS INT) ORDER BY b) AS bs, list(CAST(e AS INT) ORDER BY b) AS es FROM runs GROUP BY doc_id)
-SELECT d.doc_id, CASE WHEN s.bs IS NULL THEN d.text ELSE array_to_string([d.text[x + 1 : y] FOR x, y IN list_zip(list_concat([0], s.es), list_concat(s.bs, [length(d.text)]))], '') END AS text, 
+SELECT d.doc_id, CASE WHEN s.bs IS NULL THEN d.text ELSE array_to_string([d.text[z[1] + 1 : z[2]] FOR z IN list_zip(list_concat([0], s.es), list_concat(s.bs, [length(d.text)]))], '') END AS text, 
   CASE WHEN s.bs IS NULL THEN '' ELSE array_to_string([CAST(z[1] AS VARCHAR) || '-' || CAST(z[2] AS VARCHAR) FOR z IN list_zip(s.bs, s.es)], ' ') END AS removed
 FROM documents d LEFT JOIN spans s USING (doc_id)
 """
