@@ -119,7 +119,8 @@ def language_tokens(x: Column) -> Column:
 def language_hits(x: Column) -> dict[str, Column]:
     """Stop-word hits of each language."""
     tokens = language_tokens(x)
-    return {k: F.size(F.filter(tokens, lambda t, w=w: t.isin(w))) for k, w in STOP_WORDS.items()}
+    hits = lambda w: F.size(F.filter(tokens, lambda t: t.isin(list(w))))  # noqa: E731  # a lambda of two arguments would get the index
+    return {k: hits(w) for k, w in STOP_WORDS.items()}
 
 
 def language_scores(x: Column) -> Column:

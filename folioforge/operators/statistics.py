@@ -36,17 +36,17 @@ def unpivot(df: DataFrame, metrics: list[str], keep: list[str] | None = None) ->
     return df.unpivot(keep or [], [F.col(m).cast("double").alias(m) for m in metrics], "metric", "value") if keep else df.select(F.explode(F.array(*(F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in metrics))).alias("x")).select("x.*")
 
 
-@pandas_udf("struct<mean:double,low:double,high:double>")
-def bootstrap_ci(values: pd.Series) -> dict:
-    """Mean and percentile bootstrap interval (200 resamples, 95 %, fixed seed) of
-    the values that aren't NULL, in order of value."""
+@pandas_udf("array<double>")
+def bootstrap_ci(values: pd.Series) -> list[float]:
+    """[mean, low, high]: percentile bootstrap interval (200 resamples, 95 %, fixed
+    seed) of the values that aren't NULL, in order of value."""
     v = np.sort(values.dropna().to_numpy(float))
     if not len(v):
-        return {"mean": float("nan"), "low": float("nan"), "high": float("nan")}
+        return [float("nan")] * 3
     rng = np.random.default_rng(0)
     means = np.array([v[rng.integers(0, len(v), len(v))].mean() for _ in range(200)]) if len(v) > 1 else v
     low, high = np.percentile(means, [2.5, 97.5])
-    return {"mean": float(v.mean()), "low": float(low), "high": float(high)}
+    return [float(v.mean()), float(low), float(high)]
 
 
 def signed_rank_p(a: np.ndarray, b: np.ndarray) -> float | None:
@@ -96,7 +96,9 @@ def section_tests(pairs: DataFrame, by: str = "corpus") -> DataFrame:
     """(section, metric, ci_a, ci_b, p): intervals of both systems and the paired
     test by key.  A section's values come to one task: as many as records."""
     both = pairs.withColumn("section", F.explode(F.array(F.lit("overall"), F.col(by))))
-    return both.groupBy("section", "metric").agg(bootstrap_ci("a").alias("ci_a"), bootstrap_ci("b").alias("ci_b"), paired_p("a", "b").alias("p"))
+    out = both.groupBy("section", "metric").agg(bootstrap_ci("a").alias("a"), bootstrap_ci("b").alias("b"), paired_p("a", "b").alias("p"))
+    interval = lambda c: F.struct(*(F.col(c)[i].alias(n) for i, n in enumerate(("mean", "low", "high")))).alias(f"ci_{c}")
+    return out.select("section", "metric", interval("a"), interval("b"), "p")
 
 
 def baseline(now: DataFrame, before: DataFrame, metric: str, keys: tuple[str, ...] = ("corpus", "record_id")) -> DataFrame:

@@ -172,22 +172,22 @@ def q_front_matter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return n.select("record_id", "pos", F.row_number().over(Window.partitionBy("record_id").orderBy("pos")).alias("rank"))
 
 
-@query(f"""WITH {LINES}, m AS (SELECT record_id, pos AS at, row_number() OVER (PARTITION BY record_id ORDER BY pos) AS n FROM L WHERE regexp_matches(text, '(?i)license') QUALIFY n <= 4)
-SELECT record_id, {s_ws("string_agg(text, ' ' ORDER BY n, pos)")} AS text FROM L JOIN m USING (record_id) WHERE pos BETWEEN at - 1 AND at + 4 AND text <> '' GROUP BY record_id""")
+@query(f"""WITH {LINES}, m AS (SELECT record_id, pos AS mark, row_number() OVER (PARTITION BY record_id ORDER BY pos) AS n FROM L WHERE regexp_matches(text, '(?i)license') QUALIFY n <= 4)
+SELECT record_id, {s_ws("string_agg(text, ' ' ORDER BY n, pos)")} AS text FROM L JOIN m USING (record_id) WHERE pos BETWEEN mark - 1 AND mark + 4 AND text <> '' GROUP BY record_id""")
 def q_marker_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.context(lines_of(spark, sf_dir), "(?i)license")
 
 
-@query(f"""WITH {LINES}, m AS (SELECT record_id, pos AS at, row_number() OVER (PARTITION BY record_id ORDER BY pos) AS block FROM L WHERE regexp_matches({s_strip('text')}, '(?i)^(?:the|les?|das|los)\\b') QUALIFY block <= 3),
-i AS (SELECT l.*, m.at, m.block, min(CASE WHEN l.pos > m.at AND regexp_matches(l.text, 'ing\\b') THEN l.pos END) OVER (PARTITION BY l.record_id, m.block) AS stop FROM L l JOIN m ON l.record_id = m.record_id AND l.pos BETWEEN m.at AND m.at + 7)
+@query(f"""WITH {LINES}, m AS (SELECT record_id, pos AS at, row_number() OVER (PARTITION BY record_id ORDER BY pos) AS block FROM L WHERE regexp_matches({s_strip('text')}, '(?i)^(?:the|les?|das|los) ') QUALIFY block <= 3),
+i AS (SELECT l.*, m.at, m.block, min(CASE WHEN l.pos > m.at AND regexp_matches(l.text, 'ing ') THEN l.pos END) OVER (PARTITION BY l.record_id, m.block) AS stop FROM L l JOIN m ON l.record_id = m.record_id AND l.pos BETWEEN m.at AND m.at + 7)
 SELECT record_id, block, {s_ws("string_agg(text, ' ' ORDER BY pos)")} AS text FROM i WHERE stop IS NULL OR pos < stop GROUP BY record_id, block""")
 def q_marker_window(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Windows after lines that begin with an article, up to a line with a word in
     -ing, for the documents that have one."""
     n = lines_of(spark, sf_dir)
-    mark = r"(?i)^(?:the|les?|das|los)\b"
+    mark = r"(?i)^(?:the|les?|das|los) "
     some = n.where(T.strip(F.col("text")).rlike(mark)).select("record_id").distinct()
-    return L.marker_windows(n.join(some, "record_id", "left_semi"), mark, r"ing\b", suffix=8, max_page=1 << 30, label=False)
+    return L.marker_windows(n.join(some, "record_id", "left_semi"), mark, "ing ", suffix=8, max_page=1 << 30, label=False)
 
 
 @query(f"""WITH {LINES}, c AS (SELECT record_id, page, count(*) AS n, count(*) FILTER (x < 200) AS l FROM L GROUP BY ALL)
