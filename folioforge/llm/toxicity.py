@@ -2,14 +2,18 @@
 
 Folding maps accents, fullwidth letters, Cyrillic and Greek look-alikes and
 digits or signs that stand for letters to ``a``-``z``, removes zero-width
-characters and lower-cases, so that ``Stуp1d`` is ``stupid``.  One automaton holds
-the terms and the exception phrases; a term counts where it stands as a word (or
-begins one, for a stem) and no exception phrase covers it.  The score is the sum
-of the weights for each 100 words.
-
-The lexicon is a fixed list joined by terms learned from labelled documents: a
-bounded, hash-ordered sample of labels (``max_rows``) gives the words and stems
-that toxic documents have and others don't, weighted by their log odds.
+characters and lower-cases, so that ``ѕtuр1d`` is ``stupid``.  Words with accented
+letters are matched a second time with the accents kept, for terms that only
+differ from clean words in them.  One automaton holds the terms and the exception
+phrases; a term counts where it stands as a word (or begins one, for a stem) and
+no exception phrase covers it.  The score is the sum of the weights for each 100
+words, over the number of words and ``SMOOTH`` more, so that one chance hit in a
+line of text doesn't pass for a high rate.
+
+The lexicon is a fixed list joined by stems learned from labelled documents: a
+bounded, hash-ordered sample of labels (``max_rows``) gives the stems that toxic
+documents use many times as often as others, and their weight is fitted to the
+threshold.
 """
 
 from __future__ import annotations
@@ -26,10 +30,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import written
+
 #: A document is toxic from this score (weight for each 100 words) on.
 THRESHOLD = 0.25
 #: Rows of the labels that the learned terms are fitted on, at most.
 MAX_LABELLED_ROWS = 8192
+#: Words added to a document's length.
+SMOOTH = 40
 
 BASE_TERMS = {
     "idiot": 1.0, "moron": 1.0, "stupid": 0.8, "scum": 1.0, "worthless": 0.8, "pathetic": 0.8, "disgusting": 0.8,
@@ -64,7 +72,18 @@ class _Folding(dict):
         return out
 
 
+class _Keeping(dict):
+    """The same but for accented Latin letters, which stay, in lower case."""
+
+    def __missing__(self, code: int) -> str:
+        c = unicodedata.normalize("NFC", chr(code).lower())
+        parts = unicodedata.normalize("NFD", c)
+        self[code] = out = c if len(c) == 1 and len(parts) > 1 and "a" <= parts[0] <= "z" else _TABLE[code]
+        return out
+
+
 _TABLE = _Folding()
+_ACCENTS = _Keeping()
 
 
 def fold(text: str) -> str:
@@ -72,10 +91,16 @@ def fold(text: str) -> str:
     return text.translate(_TABLE)
 
 
+def accented(text: str) -> list[str]:
+    """The words that have accented letters, folded but for those."""
+    return [] if text.isascii() else [w for w in unicodedata.normalize("NFC", text).translate(_ACCENTS).split() if not w.isascii()]
+
+
 @dataclass(frozen=True)
 class Lexicon:
-    """Weights of words, weights of stems (matched at the start of a word) and
-    phrases in which terms don't count.  All are folded."""
+    """Weights of words, weights of stems (matched at the start of a word; those
+    with accented letters only where the text has them) and phrases in which
+    terms don't count.  All are folded."""
 
     words: dict[str, float]
     stems: dict[str, float] = field(default_factory=dict)
@@ -85,7 +110,7 @@ class Lexicon:
         a, entries = ahocorasick.Automaton(), {}
         for kind, terms in (("stem", self.stems), ("word", self.words), ("except", dict.fromkeys(self.exceptions, 0.0))):
             for term, weight in terms.items():
-                folded = " ".join(fold(term).split())
+                folded = " ".join(fold(term).split()) if term.isascii() or kind != "stem" else " ".join(accented(term))
                 if folded:
                     entries.setdefault(" " + folded + ("" if kind == "stem" else " "), (kind, weight))
         for term, (kind, weight) in entries.items():
@@ -101,8 +126,8 @@ def score_text(a: ahocorasick.Automaton | None, text: str) -> tuple[float, int,
     split = fold(text).split()
     if not split or a is None:
         return 0.0, 0, len(split)
-    hits, spans = [], []
-    for end, (kind, size, weight) in a.iter(" " + " ".join(split) + " "):
+    hits, spans, extra = [], [], accented(text)
+    for end, (kind, size, weight) in a.iter(" " + " ".join(split) + (" | " + " ".join(extra) if extra else "") + " "):
         if kind == "except":
             spans.append((end - size + 1, end))
         else:
@@ -113,7 +138,7 @@ def score_text(a: ahocorasick.Automaton | None, text: str) -> tuple[float, int,
     for lo, hi, weight, _ in hits:
         if not any(s <= lo and hi <= e for s, e in spans):
             best[lo] = max(weight, best.get(lo, 0.0))
-    return 100.0 * math.fsum(best.values()) / len(split), len(best), len(split)
+    return 100.0 * math.fsum(best.values()) / (len(split) + SMOOTH), len(best), len(split)
 
 
 def score(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
@@ -142,51 +167,78 @@ def score(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESHOLD, text:
     return docs.mapInArrow(run, schema)
 
 
-def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED_ROWS, min_share: float = 0.02, min_docs: int = 8, clean_share: float = 0.02, text: str = "text") -> Lexicon:
-    """The base lexicon joined by terms learned from labelled documents.
+def _stems(text: str) -> tuple[Counter, int]:
+    """The stems of a text's words, as often as they stand there, and the number
+    of words."""
+    split = fold(text).split()
+    out = Counter(w[:k] for w in split for k in range(4, 9) if len(w) >= k)
+    out.update(w[:k] for w in accented(text) for k in range(3, 9) if len(w) >= k and not w[:k].isascii())
+    return out, len(split)
+
+
+def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED_ROWS, min_share: float = 0.02, min_docs: int = 8, ratio: float = 6.0, evidence: float = 40.0, text: str = "text") -> Lexicon:
+    """The base lexicon joined by stems learned from labelled documents.
 
     The sample is the ``max_rows`` labels that come first by a hash of their
     ``doc_id``; labels with a NULL in ``doc_id`` or ``toxic`` are left out.  A
-    word, or a stem of 4 to 8 letters, is learned when at least ``min_share`` of
-    the toxic documents and ``min_docs`` have it, and of the documents that have
-    it no more than ``clean_share`` are clean.  Where a longer stem covers
-    nearly the same documents the longer is taken.  Without labels the base
-    lexicon is returned.
+    stem of 4 to 8 letters (3 with an accent) is learned when at least
+    ``min_share`` of the toxic documents and ``min_docs`` have it, toxic documents
+    use it ``ratio`` times as often as others, and the log-likelihood ratio of the
+    documents' numbers is at least ``evidence``.  Of stems that begin alike the
+    shortest is taken.  All learned stems get the weight that serves the sample
+    best, a clean document rejected counting as two toxic ones missed.  Without
+    labels, or where nothing is learned, the base lexicon is returned.
     """
     picked = labels.where("doc_id is not null and toxic is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id").select("toxic", "text")
+    sample = written(spark, sample, "labelled")
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        toxic, clean = Counter(), Counter()
-        n = [0, 0]
+        found: dict[str, list[int]] = {"": [0] * 4}
         for b in batches:
-            for y, t in zip(b.column(0).to_pylist(), b.column(1)):
-                split = {w for w in fold(t.as_py()).split() if len(w) > 3}
-                (toxic if y else clean).update({" " + w for w in split} | {w[:k] for w in split for k in range(4, 9) if len(w) >= k})
-                n[y > 0] += 1
-        terms = list(toxic.keys() | clean.keys())
-        yield pa.RecordBatch.from_arrays([pa.array(["", *terms]), pa.array([n[1], *(toxic[t] for t in terms)], pa.int64()), pa.array([n[0], *(clean[t] for t in terms)], pa.int64())], ["term", "toxic", "clean"])
-
-    counted = sample.mapInArrow(count, "term string, toxic long, clean long").groupBy("term").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
-    found = {r["term"]: (r["toxic"], r["clean"]) for r in counted.where(f"term = '' or (toxic >= {min_docs} and clean <= {clean_share} * (toxic + clean))").collect()}
-    n_toxic, n_clean = found.pop("", (0, 0))
-    words, stems = dict(BASE_TERMS), {}
-    need = max(min_docs, min_share * n_toxic)
-    take = {t: n for t, (n, _) in found.items() if n >= need}
-    weight = lambda t: round(min(2.0, max(0.5, math.log10((found[t][0] + 0.5) / (n_toxic + 1) * (n_clean + 1) / (found[t][1] + 0.5)) / 2)), 3)
-    for t in sorted(take, key=lambda t: (-len(t), t)):
-        if t[0] == " " or any(u != t and u.startswith(t) and take[u] >= 0.9 * take[t] for u in take):
+            for y, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                stems, n = _stems(t)
+                stems[""] = n
+                for w, k in stems.items():
+                    x = found.setdefault(w, [0] * 4)
+                    x[y <= 0] += 1
+                    x[2 + (y <= 0)] += k
+        yield pa.RecordBatch.from_arrays([pa.array(list(found)), *(pa.array([x[i] for x in found.values()], pa.int64()) for i in range(4))], ["term", "toxic", "clean", "toxic_words", "clean_words"])
+
+    base = Lexicon(dict(BASE_TERMS), {}, EXCEPTIONS)
+    counted = sample.mapInArrow(count, "term string, toxic long, clean long, toxic_words long, clean_words long").groupBy("term").agg(*(F.sum(c).alias(c) for c in ("toxic", "clean", "toxic_words", "clean_words")))
+    found = {r["term"]: tuple(r)[1:] for r in counted.where(f"term = '' or (toxic >= {int(min_docs)} and clean <= toxic * 50)").collect()}
+    n_toxic, n_clean, toxic_words, clean_words = found.pop("", (0, 0, 0, 0))
+    if not n_toxic or not n_clean:
+        return base
+    taken: set[str] = set()
+    for term, (toxic, clean, k, m) in sorted(found.items()):
+        if toxic < max(min_docs, min_share * n_toxic) or k / (toxic_words + 1) < ratio * (m + 1) / (clean_words + 1):
             continue
-        if take.get(" " + t, 0) >= 0.9 * take[t]:
-            words.setdefault(t, weight(t))
-        else:
-            stems[t] = weight(t)
-    stems = {t: w for t, w in stems.items() if not any(u != t and t.startswith(u) for u in stems)}
-    words = {w: x for w, x in words.items() if w in BASE_TERMS or not any(w.startswith(u) for u in stems)}
-    for t in take:  # words longer than a stem may be
-        if t[0] == " " and len(t) > 9 and t[1:] not in words and not any(t[1:].startswith(u) for u in stems):
-            words[t[1:]] = weight(t)
-    return Lexicon(words, stems, EXCEPTIONS)
+        expected = (toxic + clean) * n_toxic / (n_toxic + n_clean)
+        if 2 * (toxic * math.log(toxic / expected) - (toxic - expected)) < evidence or toxic < expected:
+            continue
+        if not any(term[:i] in taken for i in range(3, len(term))) and not any(fold(w).startswith(fold(term)) for w in BASE_TERMS):
+            taken.add(term)
+    # where a stem with and one without the accents are of the same words, one counts
+    taken = {t for t in taken if t.isascii() or not any(fold(t).startswith(u) or u.startswith(fold(t)) and found[u][2] >= 0.8 * found[t][2] for u in taken if u.isascii())}
+    if not taken:
+        return base
+
+    def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        plain, learned = base.automaton(), Lexicon({}, dict.fromkeys(taken, 1.0), EXCEPTIONS).automaton()
+        for b in batches:
+            got = [(score_text(plain, t)[0], score_text(learned, t)[0]) for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x for x, _ in got], pa.float64()), pa.array([x for _, x in got], pa.float64())], ["toxic", "base", "learned"])
+
+    rows = sample.mapInArrow(measure, "toxic int, base double, learned double").collect()  # as many as max_rows
+
+    def worth(cut: float) -> tuple[float, float]:
+        rejected = [r["toxic"] > 0 for r in rows if r["base"] + r["learned"] * THRESHOLD / cut >= THRESHOLD]
+        return sum(rejected) - 2.0 * (len(rejected) - sum(rejected)), cut
+
+    cut = max(worth(i / 20) for i in range(4, 81))[1]
+    return Lexicon(dict(BASE_TERMS), dict.fromkeys(sorted(taken), round(THRESHOLD / cut, 4)), EXCEPTIONS)
 
 
 def fitted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Lexicon:
