@@ -29,11 +29,11 @@ B = 0.75
 #: Documents in a block.
 BLOCK = 64
 #: Postings after which a shard is closed.
-SHARD_POSTINGS = 1_500_000
+SHARD_POSTINGS = 700_000
 #: Scores are rounded to this many places, and ranked so.
 PLACES = 6
 
-_ARRAYS = {"ids": "<i8", "lengths": "<i4", "terms": "<u8", "begins": "<i8", "docs": "<i4", "tfs": "<i4", "block_begins": "<i8", "blocks": "<i4", "block_posts": "<i8", "block_tf": "<i4", "block_length": "<i4"}
+_ARRAYS = {"ids": "<i8", "lengths": "<i4", "terms": "<u8", "begins": "<i4", "docs": "<i4", "tfs": "<i4", "block_begins": "<i4", "blocks": "<i4", "block_posts": "<i4", "block_tf": "<i4", "block_length": "<i4"}
 _SHARD = "n_docs long, n_words long, " + ", ".join(f"{k} binary" for k in _ARRAYS)
 
 
@@ -41,11 +41,12 @@ def index(ids: np.ndarray, lengths: np.ndarray, doc: np.ndarray, term: np.ndarra
     """The arrays of a shard's index from its postings."""
     order = np.lexsort((doc, term))
     doc, term, tf = doc[order], term[order], tf[order]
-    terms, begins = np.unique(term, return_index=True)
-    begins = np.r_[begins, len(term)]
-    block = doc // BLOCK
     new = np.ones(len(doc), bool)
-    new[1:] = (term[1:] != term[:-1]) | (block[1:] != block[:-1])
+    new[1:] = term[1:] != term[:-1]
+    begins = np.flatnonzero(new)
+    terms, begins = term[begins], np.r_[begins, len(term)]
+    block = doc // BLOCK
+    new[1:] |= block[1:] != block[:-1]
     posts = np.flatnonzero(new)
     some = len(posts) > 0
     return {
@@ -55,15 +56,27 @@ def index(ids: np.ndarray, lengths: np.ndarray, doc: np.ndarray, term: np.ndarra
     }
 
 
+def _blob(a: np.ndarray, kind: str) -> pa.Array:
+    """One binary value that holds the array."""
+    a = np.ascontiguousarray(a, kind)
+    return pa.Array.from_buffers(pa.binary(), 1, [None, pa.py_buffer(np.array([0, a.nbytes], np.int32)), pa.py_buffer(a)])
+
+
+def _array(column: pa.Array, row: int, kind: str) -> np.ndarray:
+    """A row's array, in place."""
+    return np.frombuffer(column[row].as_buffer(), kind)
+
+
 def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[tuple[np.ndarray, ...]] = []
     n_docs = n_posts = 0
 
     def close() -> pa.RecordBatch:
         parts = [np.concatenate(x) for x in zip(*held)]
+        held.clear()
         made = index(*parts)
         cols = [pa.array([len(made["ids"])], pa.int64()), pa.array([int(made["lengths"].sum())], pa.int64())]
-        cols += [pa.array([np.ascontiguousarray(made[k].astype(t)).tobytes()], pa.binary()) for k, t in _ARRAYS.items()]
+        cols += [_blob(made[k], t) for k, t in _ARRAYS.items()]
         return pa.RecordBatch.from_arrays(cols, ["n_docs", "n_words", *_ARRAYS])
 
     for b in batches:
@@ -76,12 +89,12 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             new[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
             first = np.flatnonzero(new)
             tf = np.diff(np.r_[first, len(row)])
-            held.append((ids[at : at + len(part)], np.bincount(row, minlength=len(part)), row[first] + n_docs, h[first], tf))
+            held.append((ids[at : at + len(part)], np.bincount(row, minlength=len(part)), (row[first] + n_docs).astype(np.int32), h[first], tf.astype(np.int32)))
             n_docs += len(part)
             n_posts += len(first)
             if n_posts > SHARD_POSTINGS:
                 yield close()
-                held, n_docs, n_posts = [], 0, 0
+                n_docs = n_posts = 0
     if held:
         yield close()
 
@@ -179,7 +192,7 @@ def search(spark: SparkSession, shards: DataFrame, queries: DataFrame, k: int =
         for b in batches:
             for i in range(len(b)):
                 docs, words = docs + b.column(0)[i].as_py(), words + b.column(1)[i].as_py()
-                terms, begins = np.frombuffer(b.column(2)[i].as_py(), "<u8"), np.frombuffer(b.column(3)[i].as_py(), "<i8")
+                terms, begins = _array(b.column(2), i, "<u8"), _array(b.column(3), i, "<i4")
                 at = np.searchsorted(terms, sent.value)
                 ok = at < len(terms)
                 ok[ok] = terms[at[ok]] == sent.value[ok]
@@ -198,7 +211,7 @@ def search(spark: SparkSession, shards: DataFrame, queries: DataFrame, k: int =
         every, mean = plan.value
         for b in batches:
             for i in range(len(b)):
-                shard = Shard({name: np.frombuffer(b.column(name)[i].as_py(), t) for name, t in _ARRAYS.items()}, mean)
+                shard = Shard({name: _array(b.column(name), i, t) for name, t in _ARRAYS.items()}, mean)
                 q, d, s = [], [], []
                 for query, terms, weight in every:
                     ids, scores = shard.top(terms, weight, k)
