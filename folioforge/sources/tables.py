@@ -20,9 +20,11 @@ def manifest_csv(spark: SparkSession, path: str) -> DataFrame:
 
 def manifest_parquet(spark: SparkSession, path: str, id_col: str = "id", pdf: str = "pdf", xml: str = "xml") -> DataFrame:
     """(record_id, pdf binary, xml string): documents and gold in one table.  Rows
-    without an id or either of both are left out; binary XML is read as UTF-8."""
+    without an id or either of both are left out; binary XML is read as UTF-8 and bytes that aren't are dropped."""
     df = spark.read.parquet(path).select(F.col(id_col).cast("string").alias("record_id"), F.col(pdf).alias("pdf"), F.col(xml).alias("xml"))
-    text = F.decode("xml", F.lit("UTF-8")) if dict(df.dtypes)["xml"] == "binary" else F.col("xml").cast("string")
+    text = F.col("xml").cast("string")
+    if dict(df.dtypes)["xml"] == "binary":
+        text = F.replace(F.make_valid_utf8(text), F.lit("\ufffd"), F.lit(""))
     return df.where("record_id is not null and pdf is not null and xml is not null").withColumn("xml", text)
 
 
