@@ -237,7 +237,7 @@ class Document:
         some = sorted(n.size for n in self.lines if n.size > 0 and words(n.text) >= 3)
         return some[len(some) // 2] if some else 0.0
 
-    # ---- captions ---------------------------------------------------------
+    # captions
 
     def captions(self, kind: str, most: int, most_lines: int = 18) -> list[tuple[str, Line]]:
         """Captions: the line with the label and those below it, until the caption
@@ -277,7 +277,7 @@ class Document:
             return bool(PANEL.match(o.text)) and n <= 12
         return n <= 8 and len(o.text) <= 90 and o.text[-1:] not in (".", "!", "?") and (o.bold or o.size < start.size - 0.25 or beside >= 1)
 
-    # ---- body headings ------------------------------------------------------
+    # body headings
 
     @cached_property
     def body_start(self) -> int:
@@ -410,7 +410,7 @@ class Document:
                     break
         return ws(" ".join(parts))[:most]
 
-    # ---- references -----------------------------------------------------------
+    # references
 
     def reference_lines(self) -> list[Line]:
         """The lines of the first reference section, page by page, the left column

@@ -81,7 +81,7 @@ SCORED = f"scored AS (SELECT *, {_H['en']} AS en, {_H['pt']} AS pt, {_H['es']} A
 DETECT = "CASE WHEN greatest(en, pt, es) = 0 THEN 'unknown' WHEN en >= pt AND en >= es THEN 'en' WHEN pt >= es THEN 'pt' ELSE 'es' END"
 
 
-# ---- text and language ----------------------------------------------------
+# text and language
 
 
 @query(f"""WITH {SCORED}, m AS (SELECT lang, CASE WHEN {DETECT} = lang THEN 1 ELSE 0 END AS hit FROM scored)
@@ -145,7 +145,7 @@ def q_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("event_id", T.safe_filename(F.concat("event_type", F.lit("/"), "event_id")).alias("name"), T.shorten(F.col("event_type"), 5).alias("short"))
 
 
-# ---- layout lines ---------------------------------------------------------
+# layout lines
 
 
 @query(f"""WITH {LINES} SELECT record_id, key, count(DISTINCT page) AS pages FROM (SELECT record_id, page, {s_key('text')} AS key FROM L) WHERE key <> '' GROUP BY ALL HAVING count(DISTINCT page) >= 2""")
@@ -223,7 +223,7 @@ def q_numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.numbered(L.front_matter(lines_of(spark, sf_dir), 20))
 
 
-# ---- candidates -----------------------------------------------------------
+# candidates
 
 
 @query(f"""SELECT doc_id, lang FROM (SELECT doc_id, lang, row_number() OVER (PARTITION BY lang, {s_key('text')} ORDER BY doc_id) AS n FROM documents WHERE {s_key('text')} <> '') WHERE n = 1""")
@@ -310,7 +310,7 @@ def q_jaccard_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.lookup(b, p, 0.05).withColumn("score", F.round("score", 9))
 
 
-# ---- metrics --------------------------------------------------------------
+# metrics
 
 
 def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -395,7 +395,7 @@ def q_evaluate_record(spark: SparkSession, sf_dir: str) -> DataFrame:
     return made.select("doc_id", "title_match", F.round("title_edit_sim", 9).alias("title_edit_sim"), F.round("keywords_recall", 9).alias("keywords_recall"))
 
 
-# ---- aggregation ----------------------------------------------------------
+# aggregation
 
 
 @query("""SELECT metric, n, round(mean, 9) AS mean FROM (SELECT 'quality' AS metric, count(quality) AS n, avg(quality) AS mean FROM labels UNION ALL SELECT 'toxic', count(toxic), avg(toxic) FROM labels UNION ALL SELECT 'bad', count(*), avg(toxic) FROM labels WHERE quality = 0) WHERE n > 0""")

@@ -60,7 +60,7 @@ PROMPTS = {
 PROMPTS["TEI_VALIDATED"] = PROMPTS["TEI_METADATA"]
 
 
-# ---- text, as the column functions ------------------------------------------
+# text, as the column functions
 
 _LATIN = re.compile("[a-zA-ZáéíóúãõçñÁÉÍÓÚÃÕÇÑ]+")
 _DISCLAIMER, _SUSPECT, _DOI, _ORCID, _KEYWORD = rx(T.DISCLAIMER), rx(T.SUSPECT_KEYWORD), rx(T.DOI), rx(T.ORCID), rx(T.KEYWORD_MARKER)
@@ -275,7 +275,7 @@ class Enricher:
         except Exception:
             return {}
 
-    # ---- evidence
+    # evidence
 
     def front(self, most: int, last_page: int = 5, pruned: bool = True, drop: bool = False) -> list[A.Line]:
         own = [n for n in self.lines if n.page <= last_page] or self.lines
@@ -308,7 +308,7 @@ class Enricher:
                     out.setdefault(t.lower(), (s, t))
         return list(out.values())
 
-    # ---- header
+    # header
 
     def from_header(self) -> dict:
         own = self.front(80, 3)
@@ -376,7 +376,7 @@ class Enricher:
 
         return max(left, key=value)[1] if left else ""
 
-    # ---- keywords and identifiers
+    # keywords and identifiers
 
     def _context(self, n: int, title: str, abstract: str = "", drop: bool = True, pruned: bool = True, **more: object) -> str:
         own = [x.text for x in self.front(n, drop=drop, pruned=pruned) if x.text]
@@ -451,7 +451,7 @@ class Enricher:
         out["identifiers"] = self.identifiers([("tei", out["identifiers"]), ("tei_llm", raw["identifiers"]), ("tei_validated_llm", fixed["identifiers"])], out["title"])
         return out
 
-    # ---- content
+    # content
 
     def content(self) -> dict[str, list[str]]:
         """Section heads, captions and references: candidates, of which the model

@@ -63,7 +63,7 @@ def distinct(values: list[str]) -> list[str]:
     return list(out.values())
 
 
-# ---- OAI-DC -----------------------------------------------------------------
+# OAI-DC
 
 _DC = "{http://purl.org/dc/elements/1.1/}"
 _SCALARS = "title abstract publisher date language rights".split()
@@ -94,7 +94,7 @@ def oai_dc(xml: str) -> dict:
     return out | {f"{k}s": many[k] for k in ("identifier", "relation", "type", "format")}
 
 
-# ---- JATS -------------------------------------------------------------------
+# JATS
 
 
 def jats(xml: str) -> dict:
@@ -138,7 +138,7 @@ def jats(xml: str) -> dict:
     return out | {"formula_count": sum(1 for _ in find(root, "disp-formula", "inline-formula"))}
 
 
-# ---- TEI --------------------------------------------------------------------
+# TEI
 
 TEI_HEADER = "title string, authors array<string>, abstract string, keywords array<string>, identifiers array<string>, language string"
 TEI_CONTENT = f"{CONTENT}, formula_count int"
@@ -355,7 +355,7 @@ def header_text(xml: Column, most: int = 12_000) -> Column:
     return F.substr(F.when((lo > 0) & (hi > 0), F.substr(xml, lo, hi + len("</teiHeader>") - lo)).otherwise(xml), F.lit(1), F.lit(most))
 
 
-# ---- ALTO -------------------------------------------------------------------
+# ALTO
 
 _FONT = ("font_family", "font_type", "font_color")
 STRING = "struct<content:string,font_size:double,is_superscript:boolean,is_bold:boolean,is_italic:boolean,font_family:string,font_type:string,font_color:string>"
@@ -424,7 +424,7 @@ def alto_lines(xml: str) -> list[dict]:
     return [{"pos": i, **r, **usual} for i, r in enumerate(out)]
 
 
-# ---- as columns ---------------------------------------------------------------
+# as columns
 
 
 def _try(f: Callable[[str], object], x: str | None) -> object:
