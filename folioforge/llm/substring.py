@@ -13,6 +13,7 @@ those of the original text, in characters.
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -22,10 +23,13 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import textscan
 from .common import attach, free_names, row_key, written
 
 #: The least number of words of a run of repeats that is removed.
 MIN_WORDS = 20
+#: Units that a task holds to find repeats among before it sends them.
+HELD_UNITS = 750_000
 
 _CUT = re.compile(r"\n|[.!?][^\S\n]+(?=\S)|[^\S\n]+(?=[A-ZÀ-ÖØ-ÞΑ-ΩЀ-Я])")
 _WORDS = re.compile(r"\w+")
@@ -51,23 +55,37 @@ def _digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     needs no partner any more, so it gets a digest of its own: a line that half
     of the corpus has is sent once by each partition, not once by each document.
     """
-    held: list[tuple] = []
+    held = _Held()
     for b in batches:
         for doc, key, text in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2)):
             t = text.as_py()
             for i, (lo, hi) in enumerate(units(t)):
                 w = normalise(t[lo:hi])
-                held.append((doc, key, i, len(w), xxhash.xxh3_128_digest(" ".join(w))))
-        if len(held) > 1_500_000:
-            yield from _first_here(held)
-            held = []
-    if held:
+                held.add(doc, key, i, len(w), xxhash.xxh3_128_digest(" ".join(w)))
+            if len(held.unit) > HELD_UNITS:
+                yield from _first_here(held)
+                held = _Held()
+    if held.unit:
         yield from _first_here(held)
 
 
-def _first_here(held: list[tuple]) -> Iterator[pa.RecordBatch]:
-    doc, key, unit, words = (np.array([x[k] for x in held], np.int64) for k in range(4))
-    h = np.frombuffer(b"".join(x[4] for x in held), np.int64).reshape(-1, 2).copy()
+class _Held:
+    """Units side by side in typed arrays, 40 bytes each."""
+
+    def __init__(self) -> None:
+        self.doc, self.key, self.unit, self.words, self.digests = array("q"), array("q"), array("i"), array("i"), bytearray()
+
+    def add(self, doc: int, key: int, unit: int, words: int, digest: bytes) -> None:
+        self.doc.append(doc)
+        self.key.append(key)
+        self.unit.append(unit)
+        self.words.append(words)
+        self.digests += digest
+
+
+def _first_here(held: _Held) -> Iterator[pa.RecordBatch]:
+    doc, key, unit, words = (np.array(x) for x in (held.doc, held.key, held.unit, held.words))
+    h = np.frombuffer(held.digests, np.int64).reshape(-1, 2).copy()
     order = np.lexsort((unit, key, doc, h[:, 1], h[:, 0]))
     same = np.zeros(len(order), bool)
     same[1:] = (h[order[1:]] == h[order[:-1]]).all(1)
@@ -75,7 +93,7 @@ def _first_here(held: list[tuple]) -> Iterator[pa.RecordBatch]:
     again[order] = same
     h[again, 0] = doc[again] * 1_000_003 + unit[again]
     h[again, 1] = key[again]
-    cols = [h[:, 0], h[:, 1], doc, key, unit.astype(np.int32), words.astype(np.int32), again]
+    cols = [h[:, 0], h[:, 1], doc, key, unit, words, again]
     for i in range(0, len(order), 100_000):
         yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 100_000]) for c in cols], ["h1", "h2", "doc_id", "key", "unit", "words", "again"])
 
@@ -121,21 +139,22 @@ def dedup(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS, text
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("begin", pa.int32()), ("end", pa.int32())]))
         for b in batches:
-            kept, spans, every = [], [], b.column(b.num_columns - 1).to_pylist()
-            for t, found in zip(b.column(at), every):
-                if found is None:
-                    kept.append(t)
-                    spans.append([])
-                    continue
-                t = t.as_py()
-                u = units(t)
-                cut = [(u[x["first"]][0], u[x["last"]][1]) for x in found]
-                ends = [0, *(e for _, e in cut)]
-                kept.append(pa.scalar("".join(t[a:b] for a, b in zip(ends, [*(s for s, _ in cut), len(t)])), b.column(at).type))
-                spans.append([{"begin": s, "end": e} for s, e in cut])
-            cols = list(b.columns[:-1])
-            cols[at] = pa.array([x.as_py() for x in kept], b.column(at).type)
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(spans, kind)], schema.names)
+            for first, part in textscan.slices(b.column(at)):
+                rows = b.slice(first, len(part))
+                texts, spans = rows.column(at), [[] for _ in range(len(rows))]
+                found = rows.column(rows.num_columns - 1)
+                if found.null_count < len(found):
+                    kept = texts.to_pylist()
+                    for i, cuts in enumerate(found.to_pylist()):
+                        if cuts is not None:
+                            t, u = kept[i], units(kept[i])
+                            spans[i] = [{"begin": u[x["first"]][0], "end": u[x["last"]][1]} for x in cuts]
+                            ends = [0, *(x["end"] for x in spans[i])]
+                            kept[i] = "".join(t[a:z] for a, z in zip(ends, [*(x["begin"] for x in spans[i]), len(t)]))
+                    texts = pa.array(kept, texts.type)
+                cols = list(rows.columns[:-1])
+                cols[at] = texts
+                yield pa.RecordBatch.from_arrays([*cols, pa.array(spans, kind)], schema.names)
 
     return joined.mapInArrow(run, schema)
 

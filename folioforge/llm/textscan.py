@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 
 #: Texts are scanned in slices of about this many bytes (one longer text is a
 #: slice by itself), which bounds a worker's memory whatever the batch holds.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 
 _WORD = np.zeros(256, bool)
 for _c in b"0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ_":
@@ -92,7 +92,9 @@ def words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     with np.errstate(over="ignore"):
         total = np.empty(len(data) + 1, np.uint64)
         total[0] = 0
-        np.cumsum(p[:-1] * (data.astype(np.uint64) + np.uint64(1)), out=total[1:])
+        np.add(data, np.uint64(1), out=total[1:], casting="unsafe")
+        total[1:] *= p[:-1]
+        np.cumsum(total[1:], out=total[1:])
         h = (total[end] - total[start]) * inv[start]
     return np.searchsorted(off, start, "right") - 1, mix(h), end - start
 
