@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from . import textscan
+from .common import batched
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The usual splitting pattern of byte-level vocabularies of this kind.
@@ -186,7 +187,7 @@ def encode(spark: SparkSession, docs: DataFrame, path: str = VOCABULARY, pattern
                 done += len(part)
                 yield pa.RecordBatch.from_arrays([*(rows.column(i) for i in stay), tokens, pa.array(np.diff(off).astype(np.int32)), pa.array(good)], schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.transform(batched).mapInArrow(run, schema)
 
 
 def decode(spark: SparkSession, coded: DataFrame, path: str = VOCABULARY, tokens: str = "tokens") -> DataFrame:
@@ -200,4 +201,4 @@ def decode(spark: SparkSession, coded: DataFrame, path: str = VOCABULARY, tokens
         for b in batches:
             yield pa.RecordBatch.from_arrays([*b.columns, codec.decode(b.column(at))], schema.names)
 
-    return coded.mapInArrow(run, schema)
+    return coded.transform(batched).mapInArrow(run, schema)

@@ -16,6 +16,11 @@ from pyspark.sql import functions as F
 #: A side is broadcast only when its counted size is below this.
 BROADCAST_BYTES = 32 << 20
 
+#: Bytes in an Arrow batch that goes to a Python worker, where the session leaves
+#: Spark's default.  It bounds the memory of a task outside the heap, however long
+#: the texts are.
+BATCH_BYTES = 4 << 20
+
 _own_dir: list[str] = []
 
 
@@ -44,6 +49,15 @@ def written(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def batched(df: DataFrame) -> DataFrame:
+    """``df``, in whose session Arrow batches are bounded by ``BATCH_BYTES`` unless
+    the session sets a bound of its own."""
+    name, default = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+    if df.sparkSession.conf.get(name, default) == default:
+        df.sparkSession.conf.set(name, str(BATCH_BYTES))
+    return df
+
+
 def row_key(text: str = "text") -> F.Column:
     """A digest that tells rows of equal ``doc_id`` but other text apart."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
@@ -124,7 +138,7 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     written to the shared folder, so its lineage is one read.
     """
     u, v = edges.columns
-    now = written(spark, edges.select(F.col(u).cast("long").alias("u"), F.col(v).cast("long").alias("v")).mapInArrow(_contract, "u long, v long"), "edges")
+    now = written(spark, edges.select(F.col(u).cast("long").alias("u"), F.col(v).cast("long").alias("v")).transform(batched).mapInArrow(_contract, "u long, v long"), "edges")
     by_u = Window.partitionBy("u")
     while True:
         both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))

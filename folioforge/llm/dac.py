@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from . import bpe
+from .common import batched
 
 BLOCK = 512
 _MAGIC = b"DAC"
@@ -111,7 +112,7 @@ def encode_lists(df: DataFrame, tokens: str = "tokens") -> DataFrame:
                 out.append(None if ids is None else encode((ids.drop_null() if ids.null_count else ids).to_numpy()))
             yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary()) if i == at else c for i, c in enumerate(b.columns)], schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.transform(batched).mapInArrow(run, schema)
 
 
 def pick(df: DataFrame, code: str = "code", position: str = "position") -> DataFrame:
@@ -131,7 +132,7 @@ def pick(df: DataFrame, code: str = "code", position: str = "position") -> DataF
                 out.append(r[i] if r is not None and 0 <= i < len(r) else None)
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(out, pa.int64())], schema.names)
 
-    return df.mapInArrow(run, schema)
+    return df.transform(batched).mapInArrow(run, schema)
 
 
 def encode_texts(spark: SparkSession, docs: DataFrame, path: str = bpe.VOCABULARY, text: str = "text") -> DataFrame:
@@ -152,4 +153,4 @@ def encode_texts(spark: SparkSession, docs: DataFrame, path: str = bpe.VOCABULAR
                 yield pa.RecordBatch.from_arrays([b.column(0).slice(done, n), pa.array(np.diff(off).astype(np.int32)), pa.array(codes, pa.binary())], ["doc_id", "n_tokens", "code"])
                 done += n
 
-    return docs.selectExpr("cast(doc_id as long) as doc_id", f"`{text}` as text").mapInArrow(run, "doc_id long, n_tokens int, code binary")
+    return docs.selectExpr("cast(doc_id as long) as doc_id", f"`{text}` as text").transform(batched).mapInArrow(run, "doc_id long, n_tokens int, code binary")

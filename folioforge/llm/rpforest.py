@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import components, forest, written
+from .common import batched, components, forest, written
 
 #: The least cosine of near-duplicates.
 COSINE = 0.9
@@ -111,7 +111,7 @@ def near_edges(spark: SparkSession, nodes: DataFrame, dim: int, cosine: float =
 
     for level in range(levels):
         shared = spark.sparkContext.broadcast(splits)
-        cuts = nodes.mapInArrow(project(level, shared), "tree int, at long, p double").groupBy("tree", "at").agg(F.percentile_approx("p", [0.5 - spill, 0.5, 0.5 + spill], 2000).alias("q"))
+        cuts = nodes.transform(batched).mapInArrow(project(level, shared), "tree int, at long, p double").groupBy("tree", "at").agg(F.percentile_approx("p", [0.5 - spill, 0.5, 0.5 + spill], 2000).alias("q"))
         splits = splits | {(r["tree"], r["at"]): tuple(r["q"]) for r in cuts.collect()}
     shared = spark.sparkContext.broadcast(splits)
 
@@ -141,7 +141,7 @@ def near_edges(spark: SparkSession, nodes: DataFrame, dim: int, cosine: float =
         return pa.table({"u": np.minimum(u, v), "v": np.maximum(u, v)})
 
     schema = "tree int, at long, node long, v array<float>"
-    found = nodes.mapInArrow(send, schema).groupBy("tree", "at").applyInArrow(compare, "u long, v long")
+    found = nodes.transform(batched).mapInArrow(send, schema).groupBy("tree", "at").applyInArrow(compare, "u long, v long")
     return found.distinct() if every_pair else found
 
 

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textscan
-from .common import BROADCAST_BYTES, attach, components, forest, free_names, row_key, written
+from .common import BROADCAST_BYTES, attach, batched, components, forest, free_names, row_key, written
 
 RADIUS = 20
 BLOCKS = 8
@@ -238,10 +238,10 @@ def near_pairs(spark: SparkSession, nodes: DataFrame, radius: int = RADIUS, broa
 
             yield from _edges(found())
 
-        return nodes.repartition(max(spark.sparkContext.defaultParallelism, 1)).mapInArrow(ask, "u long, v long")
+        return nodes.repartition(max(spark.sparkContext.defaultParallelism, 1)).transform(batched).mapInArrow(ask, "u long, v long")
     byte = [F.shiftrightunsigned(F.col(c), 8 * i).bitwiseAND(255).cast("int") + 256 * (8 * k + i) for k, c in enumerate(("a", "b")) for i in range(8)]
     sent = nodes.withColumn("place", F.explode(F.array(*byte))).repartition("place").sortWithinPartitions("place")
-    return sent.mapInArrow(_routed(radius), "u long, v long")
+    return sent.transform(batched).mapInArrow(_routed(radius), "u long, v long")
 
 
 def near_groups(spark: SparkSession, docs: DataFrame, radius: int = RADIUS, broadcast_bytes: int = BROADCAST_BYTES, text: str = "text") -> DataFrame:
@@ -254,7 +254,7 @@ def near_groups(spark: SparkSession, docs: DataFrame, radius: int = RADIUS, broa
     a word are in no group and stay.  Rows with a NULL ``doc_id`` are left out.
     """
     made = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), row_key(text).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    made = written(spark, made.mapInArrow(_scan, "doc_id long, key long, a long, b long, n_words long"), "simhash")
+    made = written(spark, made.transform(batched).mapInArrow(_scan, "doc_id long, key long, a long, b long, n_words long"), "simhash")
     made = made.groupBy("doc_id", "key", "a", "b", "n_words").agg(F.count("*").alias("n_rows"))
     with_words = made.where("n_words > 0")
     nodes = written(spark, with_words.select(F.xxhash64("a", "b").alias("node"), "a", "b").distinct(), "codes")

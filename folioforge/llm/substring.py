@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textscan
-from .common import attach, free_names, row_key, written
+from .common import attach, batched, free_names, row_key, written
 
 #: The least number of words of a run of repeats that is removed.
 MIN_WORDS = 20
@@ -107,7 +107,7 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text") ->
     can't be ranked and take no part.
     """
     made = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long").alias("doc_id"), row_key(text).alias("key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
-    found = made.mapInArrow(_digest, "h1 long, h2 long, doc_id long, key long, unit int, words int, again boolean")
+    found = made.transform(batched).mapInArrow(_digest, "h1 long, h2 long, doc_id long, key long, unit int, words int, again boolean")
     order = Window.partitionBy("h1", "h2").orderBy("doc_id", "key", "unit")
     first = F.first(F.struct("doc_id", "key", "unit")).over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
     again = found.withColumn("first", first).where(F.col("again") | (F.col("first") != F.struct("doc_id", "key", "unit"))).select("doc_id", "key", "unit", "words").distinct()
@@ -156,7 +156,7 @@ def dedup(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS, text
                 cols[at] = texts
                 yield pa.RecordBatch.from_arrays([*cols, pa.array(spans, kind)], schema.names)
 
-    return joined.mapInArrow(run, schema)
+    return joined.transform(batched).mapInArrow(run, schema)
 
 
 #: The same in DuckDB's SQL.  Cuts are marked with a character that no text has;

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import written
+from .common import batched, written
 
 #: A document is toxic from this score (weight for each 100 words) on.
 THRESHOLD = 0.25
@@ -164,7 +164,7 @@ def score(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESHOLD, text:
             cols = [*b.columns, pa.array(s, pa.float64()), pa.array([x[1] for x in got], pa.int32()), pa.array([x >= threshold for x in s], pa.bool_())]
             yield pa.RecordBatch.from_arrays(cols, schema.names)
 
-    return docs.mapInArrow(run, schema)
+    return docs.transform(batched).mapInArrow(run, schema)
 
 
 def _stems(text: str) -> tuple[Counter, int]:
@@ -206,7 +206,7 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int
         yield pa.RecordBatch.from_arrays([pa.array(list(found)), *(pa.array([x[i] for x in found.values()], pa.int64()) for i in range(4))], ["term", "toxic", "clean", "toxic_words", "clean_words"])
 
     base = Lexicon(dict(BASE_TERMS), {}, EXCEPTIONS)
-    counted = sample.mapInArrow(count, "term string, toxic long, clean long, toxic_words long, clean_words long").groupBy("term").agg(*(F.sum(c).alias(c) for c in ("toxic", "clean", "toxic_words", "clean_words")))
+    counted = sample.transform(batched).mapInArrow(count, "term string, toxic long, clean long, toxic_words long, clean_words long").groupBy("term").agg(*(F.sum(c).alias(c) for c in ("toxic", "clean", "toxic_words", "clean_words")))
     found = {r["term"]: tuple(r)[1:] for r in counted.where(f"term = '' or (toxic >= {int(min_docs)} and clean <= toxic * 50)").collect()}
     n_toxic, n_clean, toxic_words, clean_words = found.pop("", (0, 0, 0, 0))
     if not n_toxic or not n_clean:
@@ -231,7 +231,7 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int
             got = [(score_text(plain, t)[0], score_text(learned, t)[0]) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x for x, _ in got], pa.float64()), pa.array([x for _, x in got], pa.float64())], ["toxic", "base", "learned"])
 
-    rows = sample.mapInArrow(measure, "toxic int, base double, learned double").collect()  # as many as max_rows
+    rows = sample.transform(batched).mapInArrow(measure, "toxic int, base double, learned double").collect()  # as many as max_rows
 
     def worth(cut: float) -> tuple[float, float]:
         rejected = [r["toxic"] > 0 for r in rows if r["base"] + r["learned"] * THRESHOLD / cut >= THRESHOLD]

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textscan
-from .common import written
+from .common import batched, written
 
 K = 10
 K1 = 1.2
@@ -103,7 +103,7 @@ def build(docs: DataFrame, text: str = "text") -> DataFrame:
     """The shards' indexes, one row each, over all words of all documents.  A NULL
     text has no words; rows with a NULL ``doc_id`` can't be found and aren't
     indexed; a repeated row is a document of its own."""
-    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).mapInArrow(_build, _SHARD)
+    return docs.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).transform(batched).mapInArrow(_build, _SHARD)
 
 
 class Shard:
@@ -200,7 +200,7 @@ def search(spark: SparkSession, shards: DataFrame, queries: DataFrame, k: int =
         some = np.flatnonzero(df)
         yield pa.RecordBatch.from_arrays([pa.array(np.r_[-2, -1, some].astype(np.int32)), pa.array(np.r_[docs, words, df[some]].astype(np.int64))], ["at", "n"])
 
-    totals = {r["at"]: r["n"] for r in shards.select("n_docs", "n_words", "terms", "begins").mapInArrow(count, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()}
+    totals = {r["at"]: r["n"] for r in shards.select("n_docs", "n_words", "terms", "begins").transform(batched).mapInArrow(count, "at int, n long").groupBy("at").agg(F.sum("n").alias("n")).collect()}
     n_docs, n_words = totals.pop(-2, 0), totals.pop(-1, 0)
     df = np.zeros(len(vocabulary))
     df[list(totals)] = list(totals.values())
@@ -221,7 +221,7 @@ def search(spark: SparkSession, shards: DataFrame, queries: DataFrame, k: int =
                 if q:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(q)), pa.array(np.concatenate(d)), pa.array(np.concatenate(s))], ["query_id", "doc_id", "score"])
 
-    found = shards.mapInArrow(run, "query_id long, doc_id long, score double")
+    found = shards.transform(batched).mapInArrow(run, "query_id long, doc_id long, score double")
     best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
     return found.withColumn("rank", best).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
 
