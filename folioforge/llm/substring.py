@@ -87,14 +87,14 @@ def _first_here(held: _Held) -> Iterator[pa.RecordBatch]:
     doc, key, unit, words = (np.array(x) for x in (held.doc, held.key, held.unit, held.words))
     h = np.frombuffer(held.digests, np.int64).reshape(-1, 2).copy()
     order = np.lexsort((unit, key, doc, h[:, 1], h[:, 0]))
-    same = np.zeros(len(order), bool)
-    same[1:] = (h[order[1:]] == h[order[:-1]]).all(1)
-    again = np.zeros(len(order), bool)
-    again[order] = same
+    equal = lambda *cols: np.r_[False, np.logical_and.reduce([c[order[1:]] == c[order[:-1]] for c in cols])]
+    order = order[~equal(h[:, 0], h[:, 1], doc, key, unit)]  # a repeated row's units are the same units
+    doc, key, unit, words, h = (x[order] for x in (doc, key, unit, words, h))
+    again = np.r_[False, (h[1:] == h[:-1]).all(1)]
     h[again, 0] = doc[again] * 1_000_003 + unit[again]
     h[again, 1] = key[again]
     cols = [h[:, 0], h[:, 1], doc, key, unit, words, again]
-    for i in range(0, len(order), 100_000):
+    for i in range(0, len(doc), 100_000):
         yield pa.RecordBatch.from_arrays([pa.array(c[i : i + 100_000]) for c in cols], ["h1", "h2", "doc_id", "key", "unit", "words", "again"])
 
 

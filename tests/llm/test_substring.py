@@ -105,3 +105,9 @@ def test_odd_tables(spark):
     assert sorted(str(r["text"]) for r in by[None]) == sorted([TEXT, "None"])  # can't be ranked: as they are
     empty = substring.dedup(spark, df.limit(0))
     assert empty.count() == 0 and empty.columns == out.columns
+
+
+def test_rows_that_repeat_in_one_task_keep_their_text(spark):
+    docs = [(4, TEXT), (4, TEXT), (5, TEXT), (4, TEXT), (3, "Another text.")]
+    got = substring.dedup(spark, spark.createDataFrame(docs, "doc_id long, text string").coalesce(1)).collect()
+    assert sorted((r["doc_id"], r["text"]) for r in got) == [(3, "Another text."), (4, TEXT), (4, TEXT), (4, TEXT), (5, "")]
