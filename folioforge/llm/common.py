@@ -74,6 +74,21 @@ def free_names(df: DataFrame, *wanted: str) -> list[str]:
     return out
 
 
+def set_aside(df: DataFrame, *made: str) -> tuple[DataFrame, dict[str, str]]:
+    """``df`` whose columns that clash with the ``made`` ones got the prefix
+    ``input_``, as often as it takes for the name to be new; and the new names of
+    those that were renamed, by the old."""
+    taken, renamed = {c.lower() for c in df.columns} | {m.lower() for m in made}, {}
+    for c in df.columns:
+        if c.lower() in {m.lower() for m in made}:
+            new = f"input_{c}"
+            while new.lower() in taken:
+                new = f"input_{new}"
+            taken.add(new.lower())
+            renamed[c] = new
+    return df.withColumnsRenamed(renamed) if renamed else df, renamed
+
+
 def small_enough(df: DataFrame, bytes_a_row: int, limit: int = BROADCAST_BYTES) -> bool:
     """Whether ``df`` (a written table, so counting reads footers only) may be
     broadcast."""
