@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from . import textscan
-from .common import batched
+from .common import batched, set_aside
 
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
 #: The usual splitting pattern of byte-level vocabularies of this kind.
@@ -152,22 +152,17 @@ def share(spark: SparkSession, path: str = VOCABULARY, pattern: str = PATTERN):
     return spark.sparkContext.broadcast((f"{path}\n{pattern}", load(path), pattern))
 
 
-def _without(docs: DataFrame, *made: str) -> DataFrame:
-    for c in docs.columns:
-        if c.lower() in made:
-            docs = docs.withColumnRenamed(c, f"input_{c}")
-    return docs
-
-
 def encode(spark: SparkSession, docs: DataFrame, path: str = VOCABULARY, pattern: str = PATTERN, text: str = "text", keep_text: bool = True) -> DataFrame:
     """``docs`` with ``tokens`` array<int>, ``n_tokens`` int and ``round_trip``
     boolean (whether the ids decode to the text's very bytes).
 
-    A NULL or empty text has no tokens.  Rows are independent of each other.
-    Clashing columns of the input get the prefix ``input_``.  ``keep_text=False``
-    leaves the text out.
+    A NULL or empty text has no tokens.  Rows are independent of each other:
+    repeated ones have the same ids, a very long text is encoded whole, and an empty
+    table gives an empty one.  Clashing columns of the input get the prefix
+    ``input_``.  ``keep_text=False`` leaves the text out.
     """
-    docs = _without(docs, "tokens", "n_tokens", "round_trip")
+    docs, renamed = set_aside(docs, "tokens", "n_tokens", "round_trip")
+    text = renamed.get(text, text)
     shared, at = share(spark, path, pattern), docs.columns.index(text)
     fields = [f for f in docs.schema.fields if keep_text or f.name != text]
     stay = [i for i, c in enumerate(docs.columns) if keep_text or c != text]
@@ -191,8 +186,12 @@ def encode(spark: SparkSession, docs: DataFrame, path: str = VOCABULARY, pattern
 
 
 def decode(spark: SparkSession, coded: DataFrame, path: str = VOCABULARY, tokens: str = "tokens") -> DataFrame:
-    """``coded`` with ``decoded`` string, from its lists of ids."""
-    coded = _without(coded, "decoded")
+    """``coded`` with ``decoded`` string, from its lists of ids: NULL for NULL, ''
+    for no ids.  Rows are independent of each other, however long or often repeated,
+    and an empty table gives an empty one.  A clashing column ``decoded`` gets the
+    prefix ``input_``."""
+    coded, renamed = set_aside(coded, "decoded")
+    tokens = renamed.get(tokens, tokens)
     shared, at = share(spark, path), coded.columns.index(tokens)
     schema = T.StructType([*coded.schema.fields, T.StructField("decoded", T.StringType())])
 

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from . import bpe
-from .common import batched
+from .common import batched, set_aside
 
 BLOCK = 512
 _MAGIC = b"DAC"
@@ -96,11 +96,12 @@ def encode_lists(df: DataFrame, tokens: str = "tokens") -> DataFrame:
     """``df`` with ``code`` binary in the place of the ids.
 
     A NULL list has a NULL code, an empty list the code of no ids; NULL ids in a
-    list are left out.  A clashing column ``code`` becomes ``input_code``.
+    list are left out.  Rows are independent of each other: a repeated one has the
+    same code, a very long list one code, and an empty table gives an empty one.  A
+    clashing column ``code`` gets the prefix ``input_``.
     """
-    for c in df.columns:
-        if c.lower() == "code":
-            df = df.withColumnRenamed(c, f"input_{c}")
+    df, renamed = set_aside(df, "code")
+    tokens = renamed.get(tokens, tokens)
     at = df.columns.index(tokens)
     schema = T.StructType([T.StructField("code", T.BinaryType()) if f.name == tokens else f for f in df.schema.fields])
 
@@ -117,10 +118,12 @@ def encode_lists(df: DataFrame, tokens: str = "tokens") -> DataFrame:
 
 def pick(df: DataFrame, code: str = "code", position: str = "position") -> DataFrame:
     """``df`` with ``token``: the id at ``position`` of each row's code; NULL
-    where either is NULL or the position is outside."""
-    for c in df.columns:
-        if c.lower() == "token":
-            df = df.withColumnRenamed(c, f"input_{c}")
+    where either is NULL or the position is outside.  Repeated rows have the same
+    token, a position in a very long code is found as in a short one, and an empty
+    table gives an empty one.  A clashing column ``token`` gets the prefix
+    ``input_``."""
+    df, renamed = set_aside(df, "token")
+    code, position = renamed.get(code, code), renamed.get(position, position)
     schema = T.StructType([*df.schema.fields, T.StructField("token", T.LongType())])
     at, where = df.columns.index(code), df.columns.index(position)
 
@@ -139,7 +142,9 @@ def encode_texts(spark: SparkSession, docs: DataFrame, path: str = bpe.VOCABULAR
     """(doc_id, n_tokens, code): each document's token ids as a code.
 
     A NULL or empty text has the code of no ids; every row of the input, also a
-    repeated one or one with a NULL ``doc_id``, has a row.
+    repeated one or one with a NULL ``doc_id``, has a row.  ``doc_id`` is an integer
+    column.  A very long text is one code; an empty table gives an empty one; other
+    columns of the input, whatever their names, are left out.
     """
     shared = bpe.share(spark, path)
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from . import textscan
-from .common import attach, batched, free_names, row_key, written
+from .common import attach, batched, free_names, row_key, set_aside, written
 
 #: The least number of words of a run of repeats that is removed.
 MIN_WORDS = 20
@@ -117,23 +117,25 @@ def repeats(docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text") ->
     return runs.groupBy("doc_id", "key").agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("runs"))
 
 
-def dedup(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text") -> DataFrame:
+def dedup(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS, text: str = "text", offsets: bool = True) -> DataFrame:
     """``docs`` with repeats cut out of ``text`` and ``removed``
     array<struct<begin, end>>: the half-open spans, in characters of the original
     text, that were cut (empty where nothing was).
 
     Every row stays, a NULL text as NULL; what is left of a document that
-    consists of repeats is ''.  A column of the input named ``removed`` becomes
-    ``input_removed``.
+    consists of repeats is ''.  Rows that repeat ``doc_id`` (an integer) and text
+    are cut alike.  Very long texts are cut whole; an empty table gives an empty
+    one.  A column of the input named ``removed`` gets the prefix ``input_``;
+    without ``offsets`` no column is made and none renamed.
     """
-    for c in docs.columns:
-        if c.lower() == "removed":
-            docs = docs.withColumnRenamed(c, f"input_{c}")
+    if offsets:
+        docs, renamed = set_aside(docs, "removed")
+        text = renamed.get(text, text)
     k, r = free_names(docs, "row_key", "runs")
     runs = written(spark, repeats(docs, min_words, text), "repeats").withColumnsRenamed({"key": k, "runs": r})
     joined = attach(docs.withColumn(k, row_key(text)), runs, ["doc_id", k], "left", 120).select(*docs.columns, r)
     span = T.StructType([T.StructField("begin", T.IntegerType()), T.StructField("end", T.IntegerType())])
-    schema = T.StructType([*docs.schema.fields, T.StructField("removed", T.ArrayType(span))])
+    schema = T.StructType([*docs.schema.fields, *[T.StructField("removed", T.ArrayType(span))][: int(offsets)]])
     at = docs.columns.index(text)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -154,7 +156,7 @@ def dedup(spark: SparkSession, docs: DataFrame, min_words: int = MIN_WORDS, text
                     texts = pa.array(kept, texts.type)
                 cols = list(rows.columns[:-1])
                 cols[at] = texts
-                yield pa.RecordBatch.from_arrays([*cols, pa.array(spans, kind)], schema.names)
+                yield pa.RecordBatch.from_arrays([*cols, *[pa.array(spans, kind)][: int(offsets)]], schema.names)
 
     return joined.transform(batched).mapInArrow(run, schema)
 

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import batched, written
+from .common import batched, set_aside, written
 
 #: A document is toxic from this score (weight for each 100 words) on.
 THRESHOLD = 0.25
@@ -149,10 +149,8 @@ def score(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESHOLD, text:
     Every row is scored by itself, so repeated rows score alike and an empty
     table gives an empty one.
     """
-    made = ("tox_score", "tox_hits", "toxic")
-    for c in docs.columns:
-        if c.lower() in made:
-            docs = docs.withColumnRenamed(c, f"input_{c}")
+    docs, renamed = set_aside(docs, "tox_score", "tox_hits", "toxic")
+    text = renamed.get(text, text)
     at = docs.columns.index(text)
     schema = T.StructType([*docs.schema.fields, T.StructField("tox_score", T.DoubleType()), T.StructField("tox_hits", T.IntegerType()), T.StructField("toxic", T.BooleanType())])
 
@@ -167,6 +165,19 @@ def score(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESHOLD, text:
     return docs.transform(batched).mapInArrow(run, schema)
 
 
+def clean(docs: DataFrame, lexicon: Lexicon, threshold: float = THRESHOLD, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` that :func:`score` doesn't call toxic, with the columns
+    of ``docs`` as they are, whatever their names."""
+    at = docs.columns.index(text)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        a = lexicon.automaton()
+        for b in batches:
+            yield b.filter(pa.array([round(score_text(a, t.as_py() or "")[0], 6) < threshold for t in b.column(at)], pa.bool_()))
+
+    return docs.transform(batched).mapInArrow(run, docs.schema)
+
+
 def _stems(text: str) -> tuple[Counter, int]:
     """The stems of a text's words, as often as they stand there, and the number
     of words."""

@@ -18,3 +18,12 @@ def documents(spark, extra="key string, node long, place int, removed string, to
 
 def rows(df):
     return sorted(map(tuple, df.collect()), key=str)
+
+
+def clashing(spark):
+    """Documents with columns of the names that the stages make, each row with a
+    value of its own in each of them."""
+    names = "removed toxic tox_score tox_hits key row_key runs node group_id keep input_toxic input_removed many n_rows n_words".split()
+    made = [(i, TEXT if i % 4 == 0 else f"{TEXT[: 20 + i]} words of its own {i} {i * 7919} and {i * 104729} more", *(f"{n}-{i}" for n in names)) for i in range(40)]
+    made[7] = (7, "stupid idiot moron you stupid idiot moron", *made[7][2:])
+    return spark.createDataFrame(made, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names)), names

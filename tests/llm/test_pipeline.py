@@ -3,7 +3,7 @@
 import random
 
 import pytest
-from odd import documents, rows
+from odd import clashing, documents, rows
 
 import corpus_pipeline
 from folioforge.llm import toxicity
@@ -80,3 +80,17 @@ def test_odd_tables(spark, sf_dir):
         assert empty.count() == 0 and empty.columns == df.columns
     assert corpus_pipeline.packed(spark, df, sf_dir).count() > 0
     assert toxicity.score(df, toxicity.Lexicon({})).count() == df.count()
+
+
+def test_the_values_of_clashing_columns_stay(spark, sf_dir):
+    docs, names = clashing(spark)
+    own = {r["doc_id"]: tuple(r[n] for n in names) for r in docs.collect()}
+    left = []
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = written(spark, stage(spark, docs, sf_dir), name)
+        assert out.schema.simpleString() == docs.schema.simpleString()
+        got = {r["doc_id"]: tuple(r[n] for n in names) for r in out.collect()}
+        assert got == {i: own[i] for i in got}, name
+        left.append(len(got))
+        docs = out
+    assert left[0] == 39 and left[1] < 39 and left[2] == left[1]
