@@ -3,6 +3,13 @@ near-duplicate group stays, repeated passages are cut, and what is left is packe
 
 Each stage takes (spark, docs, sf_dir); ``run`` writes its result as Parquet to
 the shared folder, and the next stage reads it from there.
+
+In all stages: ``doc_id`` is an integer column.  Rows with a NULL ``doc_id`` pass
+through the first three and aren't packed; a NULL, empty or wordless text is never
+toxic, a near-duplicate or a repeat, and takes no room.  Of rows that repeat
+``doc_id`` and text the second stage keeps one.  Texts are taken whole, however
+long; an empty table gives an empty one.  Other columns, whatever their names, keep
+their values up to the last stage, but for ``n_chars``, which follows the text.
 """
 
 from __future__ import annotations
@@ -18,7 +25,7 @@ from folioforge.llm.common import written
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the lexicon doesn't reject."""
-    return toxicity.score(docs, toxicity.fitted(spark, docs, sf_dir)).where(~F.col("toxic")).select(docs.columns)
+    return toxicity.clean(docs, toxicity.fitted(spark, docs, sf_dir))
 
 
 def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,10 +36,10 @@ def without_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents without the passages that an earlier one has; ``n_chars``
     follows the text.  A document of which nothing is left stays as ''."""
-    out = substring.dedup(spark, docs)
+    out = substring.dedup(spark, docs, offsets=False)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return out.select(docs.columns)
+    return out
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
