@@ -5,18 +5,20 @@
 3. The codes are put into shards by the value of each of their eight 16-bit
    blocks; each shard holds a BK-tree of its codes, whose children are keyed by
    the integer Hamming distance to their parent.
-4. A code asks the shards whose block value is within one bit of its own, and
-   follows only edges within the radius.
+4. A code asks the shards whose block value is within one bit of its own, in five
+   of the blocks also those at two bits, and follows only edges within the radius.
 5. The pairs found are united; the least document of each group stays.
 
-By the pigeonhole principle step 4 finds every pair up to distance 15; up to the
-default radius of 20 it finds a pair of distance d unless all eight blocks hold
-two differences or more (recall 0.93 at 20, more below; measured in the tests).
+Step 4 finds every pair within the radius of 20: either some block has one
+difference at most, or all eight have two or more, and then no more than four have
+more than two, so one of any five has exactly two.
 
 The trees are broadcast while their counted size is within ``broadcast_bytes``.
 Beyond that (they grow with the corpus), shards and the codes that ask them meet
-in a shuffle, with the same result: two codes within one bit in a block agree on
-one of its two bytes, so each code is sent to sixteen places.
+in a shuffle, with the same result: two codes within two bits in a block agree on
+one of its three parts (on one of two bytes, where one bit is asked for), so each
+code is sent to 21 places.  A place that would hold more than ``HELD`` codes is
+made of chunks that meet two by two, so no task grows with the corpus.
 """
 
 from __future__ import annotations
@@ -35,7 +37,27 @@ RADIUS = 20
 BLOCKS = 8
 #: What a code takes in a broadcast forest, in all its trees.
 NODE_BYTES = 390
-_NEAR = np.array([0] + [1 << i for i in range(16)], np.uint16)
+#: Codes that come together in a task, about, at most.
+HELD = 2_000_000
+_ONE = np.array([0] + [1 << i for i in range(16)], np.uint16)
+_TWO = np.array([1 << i | 1 << j for i in range(16) for j in range(i)], np.uint16)
+
+
+def _twos(radius: int) -> int:
+    """The number of blocks that are also asked at two bits."""
+    if not 0 <= radius <= 23:
+        raise ValueError("the radius is 23 at most")
+    return max(0, radius - 15)
+
+
+def _masks(block: int, radius: int) -> np.ndarray:
+    """The differences in a block at which shards are asked."""
+    return np.r_[_ONE, _TWO] if block < _twos(radius) else _ONE
+
+
+def _parts(block: int, radius: int) -> list[int]:
+    """Parts of a block, of which one is the same wherever the mask is one."""
+    return [0x001F, 0x03E0, 0xFC00] if block < _twos(radius) else [0x00FF, 0xFF00]
 
 
 def signatures(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -77,12 +99,15 @@ class BKForest:
     """
 
     def __init__(self, codes: np.ndarray, tree: np.ndarray):
-        """``tree`` gives each code's tree; codes may be in many trees."""
+        """``tree`` gives each code's tree, a small number; codes may be in many
+        trees."""
         order = np.argsort(tree, kind="stable")
         self.codes, self.source = codes[order], order
         tree = tree[order]
         n = len(order)
         self.keys, self.roots = np.unique(tree, return_index=True)
+        self.at = np.full(int(self.keys[-1]) + 1 if n else 1, -1, np.int32)
+        self.at[self.keys] = np.arange(len(self.keys))
         self.edge, parent = np.zeros(n, np.uint8), np.full(n, -1, np.int64)
         at = np.repeat(self.roots, np.diff(np.r_[self.roots, n]))  # where each code has come to
         todo = np.setdiff1d(np.arange(n), self.roots, assume_unique=True)
@@ -100,21 +125,21 @@ class BKForest:
         self.begin = np.searchsorted(parent[self.kids], np.arange(n + 1))
 
     def nbytes(self) -> int:
-        return sum(x.nbytes for x in (self.codes, self.source, self.keys, self.roots, self.edge, self.kids, self.begin))
-
-    def search(self, query: np.ndarray, tree: np.ndarray, radius: int, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """(row of query, source code) pairs within the radius; row i searches
-        the tree ``tree[i]``."""
-        at = np.searchsorted(self.keys, tree)
-        ok = at < len(self.keys)
-        ok[ok] = self.keys[at[ok]] == tree[ok]
+        return sum(x.nbytes for x in (self.codes, self.source, self.keys, self.at, self.roots, self.edge, self.kids, self.begin))
+
+    def search(self, query: np.ndarray, tree: np.ndarray, radius: int, of: np.ndarray | None = None, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(row, source code) pairs within the radius; row i searches the tree
+        ``tree[i]`` for the code ``query[of[i]]`` (``query[i]`` by default)."""
+        of = np.arange(len(query)) if of is None else of
+        at = self.at[np.minimum(tree, len(self.at) - 1)]
+        ok = (at >= 0) & (tree < len(self.at))
         stack = [(np.flatnonzero(ok), self.roots[at[ok]])]
         while stack:
             q, node = stack.pop()
             if len(q) > most:
                 stack += [(q[i : i + most], node[i : i + most]) for i in range(0, len(q), most)]
                 continue
-            d = hamming(query[q], self.codes[node])
+            d = hamming(query[of[q]], self.codes[node])
             hit = d <= radius
             if hit.any():
                 yield q[hit], self.source[node[hit]]
@@ -147,10 +172,13 @@ def forest_pairs(f: BKForest, codes: np.ndarray, radius: int) -> Iterator[tuple[
     have a partner in."""
     values = _blocks(codes)
     for block in range(BLOCKS):
-        tree = (values[:, block][:, None] ^ _NEAR).astype(np.int64) + block * 65536
-        q = np.repeat(np.arange(len(codes)), len(_NEAR))
-        for i, s in f.search(codes[q], tree.ravel(), radius):
-            yield q[i], s
+        masks = _masks(block, radius)
+        for lo in range(0, len(codes), step := 1 << 12):
+            own = codes[lo : lo + step]
+            tree = (values[lo : lo + step, block][:, None] ^ masks).astype(np.int64) + block * 65536
+            q = np.repeat(np.arange(len(own)), len(masks))
+            for i, s in f.search(own, tree.ravel(), radius, q):
+                yield lo + q[i], s
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,8 +208,9 @@ def _edges(found: Iterator[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.Record
 
 
 def _routed(radius: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Pairs of codes that were sent to one place (a byte of the code and its
-    value), from the trees of the whole block there."""
+    """Pairs of codes that were sent to one place (a part of a block and its value,
+    and two chunks), from the trees of the whole block there."""
+    where_of = [(block, part) for block in range(BLOCKS) for part in _parts(block, radius)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
@@ -201,22 +230,38 @@ def _routed(radius: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
         def within(place: int | None, held: list[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
             if not held or sum(map(len, held)) < 2:
                 return
-            parts = [_codes_of(b) for b in held]
-            ids, codes = np.concatenate([p[0] for p in parts]), np.concatenate([p[1] for p in parts])
-            value = _blocks(codes)[:, place // 256 // 2].astype(np.int64)
+            read = [_codes_of(b) for b in held]
+            ids, codes = np.concatenate([p[0] for p in read]), np.concatenate([p[1] for p in read])
+            block, same = where_of[int(place) % 65536 // 256]
+            value = _blocks(codes)[:, block].astype(np.int64)
             f = BKForest(codes, value)
-            same = 0x00FF if place // 256 % 2 == 0 else 0xFF00  # this byte is equal here, the other may differ by a bit
-            near = _NEAR[(_NEAR & same) == 0]
-            q = np.repeat(np.arange(len(codes)), len(near))
-            for i, s in f.search(codes[q], (value[:, None] ^ near.astype(np.int64)).ravel(), radius):
-                yield ids[q[i]], ids[s]
+            near = _masks(block, radius)
+            near = near[(near & same) == 0].astype(np.int64)
+            for lo in range(0, len(codes), step := 1 << 12):
+                own = codes[lo : lo + step]
+                q = np.repeat(np.arange(len(own)), len(near))
+                for i, s in f.search(own, (value[lo : lo + step, None] ^ near).ravel(), radius, q):
+                    yield ids[lo + q[i]], ids[s]
 
         yield from _edges(found())
 
     return run
 
 
-def near_pairs(spark: SparkSession, nodes: DataFrame, radius: int = RADIUS, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def _places(radius: int, chunks: int) -> F.Column:
+    """All places of a code: for each part of each block its value, and the chunks
+    that the code's own chunk meets."""
+    out = []
+    for i, (block, part) in enumerate((block, part) for block in range(BLOCKS) for part in _parts(block, radius)):
+        low = (part & -part).bit_length() - 1
+        bits = F.shiftrightunsigned(F.col("ab"[block // 4]), 16 * (block % 4) + low).bitwiseAND(part >> low)
+        out.append(bits.cast("long") + 256 * i)
+    own = F.pmod(F.xxhash64("node"), F.lit(chunks))
+    meets = F.transform(F.sequence(F.lit(0), F.lit(chunks - 1)), lambda c: F.least(c.cast("long"), own) * chunks + F.greatest(c.cast("long"), own))
+    return F.flatten(F.transform(F.array(*out), lambda p: F.transform(meets, lambda m: m * 65536 + p)))
+
+
+def near_pairs(spark: SparkSession, nodes: DataFrame, radius: int = RADIUS, broadcast_bytes: int = BROADCAST_BYTES, held: int = HELD) -> DataFrame:
     """Edges (u, v) that connect all codes within the radius: in each task the
     pairs found are shrunk to a spanning forest, so groups of thousands give as
     many edges as members.  ``nodes``: a written table (node, a, b) of distinct
@@ -232,23 +277,24 @@ def near_pairs(spark: SparkSession, nodes: DataFrame, radius: int = RADIUS, broa
             def found() -> Iterator[tuple[np.ndarray, np.ndarray]]:
                 for b in batches:
                     own, mine = _codes_of(b)
-                    for i in range(0, len(own), 4096):
-                        for q, s in forest_pairs(trees, mine[i : i + 4096], radius):
-                            yield own[i + q], all_ids[s]
+                    for q, s in forest_pairs(trees, mine, radius):
+                        yield own[q], all_ids[s]
 
             yield from _edges(found())
 
         return nodes.repartition(max(spark.sparkContext.defaultParallelism, 1)).transform(batched).mapInArrow(ask, "u long, v long")
-    byte = [F.shiftrightunsigned(F.col(c), 8 * i).bitwiseAND(255).cast("int") + 256 * (8 * k + i) for k, c in enumerate(("a", "b")) for i in range(8)]
-    sent = nodes.withColumn("place", F.explode(F.array(*byte))).repartition("place").sortWithinPartitions("place")
+    chunks = max(1, -(-nodes.count() // (32 * held)))  # a part has 32 values or more
+    sent = nodes.withColumn("place", F.explode(_places(radius, chunks))).repartition("place").sortWithinPartitions("place")
     return sent.transform(batched).mapInArrow(_routed(radius), "u long, v long")
 
 
 def near_groups(spark: SparkSession, docs: DataFrame, radius: int = RADIUS, broadcast_bytes: int = BROADCAST_BYTES, text: str = "text") -> DataFrame:
     """(doc_id, key, n_words, n_rows, group_id, keep) for each distinct document.
 
-    A document is a ``doc_id`` with a text (``key`` is the text's digest; NULL
-    text is ''); rows that repeat both are one document, of ``n_rows`` rows.  ``group_id`` is the
+    A document is a ``doc_id``, an integer, with a text (``key`` is the text's
+    digest; NULL text is ''); rows that repeat both are one document, of ``n_rows``
+    rows.  Very long texts are read whole; columns besides the two are not read; an
+    empty table gives an empty one.  ``group_id`` is the
     least ``doc_id`` of the near-duplicate group and ``keep`` marks one document
     of each group: the least ``doc_id``, then the least key.  Documents without
     a word are in no group and stay.  Rows with a NULL ``doc_id`` are left out.
@@ -269,7 +315,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, radius: int = RAD
     """The rows of ``docs``, with all their columns, without those that
     :func:`near_groups` doesn't keep.  Of rows that repeat ``doc_id`` and text
     one stays (any, where other columns differ); rows with a NULL ``doc_id`` all
-    stay, as do documents without a word."""
+    stay, as do documents without a word.  An empty table gives an empty one."""
     groups = written(spark, near_groups(spark, docs, radius, text=text).select("doc_id", "key", "keep", "n_rows"), "groups")
     k, many = free_names(docs, "row_key", "many")
     out = docs.withColumn(k, row_key(text))

@@ -51,19 +51,32 @@ def test_edges_are_distances_to_the_parent():
         assert (simhash.hamming(f.codes[kids], f.codes[p]) == f.edge[kids]).all() and len(set(f.edge[kids].tolist())) == len(kids)
 
 
-def test_sharded_search_has_no_false_pairs_and_the_recall_it_states():
+def test_sharded_search_finds_exactly_the_pairs_within_the_radius():
     codes = planted_codes()
-    want, got = brute(codes, simhash.RADIUS), found(codes, simhash.RADIUS)
-    assert got <= want and len(got) >= 0.93 * len(want)
-    assert brute(codes, 15) <= got
+    for radius in (0, 15, 17, simhash.RADIUS, 23):
+        assert found(codes, radius) == brute(codes, radius)
+
+
+def test_differences_spread_over_all_blocks():
+    """The hardest cases: two differences or more in every block."""
+    base = RNG.integers(0, 1 << 63, (300, 2), dtype=np.uint64)
+    far = base.copy()
+    for c in far:
+        for block in range(8):
+            for bit in RNG.choice(16, 2 + (block in RNG.choice(8, 4, replace=False)), replace=False)[: 2 if block else 3]:
+                c[block // 4] ^= np.uint64(1) << np.uint64(16 * (block % 4) + bit)
+    codes = np.concatenate([base, far])
+    d = simhash.hamming(base, far)
+    assert d.min() > 15
+    assert found(codes, 20) == brute(codes, 20)
 
 
 def test_broadcast_and_routed_searches_agree(spark):
     codes = planted_codes(600, 300)
     table = [(i, *map(int, c.view(np.int64))) for i, c in enumerate(codes)]
     nodes = written(spark, spark.createDataFrame(table, "node long, a long, b long"), "nodes")
-    by = [rows(components(spark, simhash.near_pairs(spark, nodes, broadcast_bytes=n))) for n in (1 << 30, 0)]
-    assert by[0] == by[1] and len(by[0]) > 100
+    by = [rows(components(spark, simhash.near_pairs(spark, nodes, broadcast_bytes=n, held=held))) for n, held in ((1 << 30, 1 << 20), (0, 1 << 20), (0, 10))]
+    assert by[0] == by[1] == by[2] and len(by[0]) > 100
 
 
 def slow_signature(text):
