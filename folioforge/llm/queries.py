@@ -53,8 +53,7 @@ def op8_token_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = f"{shared_dir(spark)}/folioforge/store-{uuid.uuid4().hex}"
-    out = compaction.sharded(spark, _read(spark, sf_dir, "documents"), store)
-    return out.select("doc_id", "lang", "source", "n_chars", F.md5("text").alias("text_md5"))
+    return compaction.arrivals(spark, _read(spark, sf_dir, "documents"), store)
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
