@@ -10,15 +10,17 @@ no exception phrase covers it.  The score is the sum of the weights for each 100
 words, over the number of words and ``SMOOTH`` more, so that one chance hit in a
 line of text doesn't pass for a high rate.
 
-The lexicon is a fixed list joined by stems learned from labelled documents: a
-bounded, hash-ordered sample of labels (``max_rows``) gives the stems that toxic
-documents use many times as often as others, and their weight is fitted to the
-threshold.
+The lexicon is a list from a file (``lexicon.tsv``: English, French, Spanish and
+German, all matched in every text) joined by stems learned from labelled documents:
+a bounded, hash-ordered sample of labels (``max_rows``) gives the stems that toxic
+documents use many times as often as others.  A learned stem weighs as much as the
+logarithm of how many times; the scale of the weights is fitted to the threshold.
 """
 
 from __future__ import annotations
 
 import math
+import os
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -39,11 +41,9 @@ MAX_LABELLED_ROWS = 8192
 #: Words added to a document's length.
 SMOOTH = 40
 
-BASE_TERMS = {
-    "idiot": 1.0, "moron": 1.0, "stupid": 0.8, "scum": 1.0, "worthless": 0.8, "pathetic": 0.8, "disgusting": 0.8,
-    "loser": 0.9, "trash": 0.6, "clown": 0.6, "imbecile": 1.0, "bastard": 1.0, "retard": 1.2, "degenerate": 0.8,
-}
-EXCEPTIONS = ("trash can", "trash bin", "trash bag", "trash collection", "clown fish", "circus clown", "rodeo clown", "scum line", "pond scum", "soap scum", "sore loser", "degenerate case", "degenerate matrix", "the idiot by dostoevsky")
+#: The fixed lexicon: language, kind, weight and term by line.
+LEXICON = os.path.join(os.path.dirname(__file__), "lexicon.tsv")
+
 
 _LOOKS = {
     "а": "a", "в": "b", "с": "c", "ԁ": "d", "е": "e", "ё": "e", "ғ": "f", "һ": "h", "і": "i", "ї": "i", "ј": "j", "к": "k", "ӏ": "l", "м": "m", "н": "h", "о": "o", "р": "p", "ԛ": "q", "ѕ": "s", "т": "t", "у": "y", "ѵ": "v", "ԝ": "w", "х": "x",
@@ -121,6 +121,20 @@ class Lexicon:
         return a
 
 
+def load(path: str = LEXICON) -> Lexicon:
+    """The lexicon of a file."""
+    words, stems, exceptions = {}, {}, []
+    with open(path, encoding="utf-8") as lines:
+        for line in lines:
+            if line.strip() and not line.startswith("#"):
+                _, kind, weight, term = line.rstrip("\n").split("\t")
+                if kind == "except":
+                    exceptions.append(term)
+                else:
+                    (words if kind == "word" else stems)[term] = float(weight)
+    return Lexicon(words, stems, tuple(exceptions))
+
+
 def score_text(a: ahocorasick.Automaton | None, text: str) -> tuple[float, int, int]:
     """(score, hits, words) of one text."""
     split = fold(text).split()
@@ -187,8 +201,9 @@ def _stems(text: str) -> tuple[Counter, int]:
     return out, len(split)
 
 
-def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int = MAX_LABELLED_ROWS, min_share: float = 0.02, min_docs: int = 8, ratio: float = 6.0, evidence: float = 40.0, text: str = "text") -> Lexicon:
-    """The base lexicon joined by stems learned from labelled documents.
+def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, path: str = LEXICON, max_rows: int = MAX_LABELLED_ROWS, min_share: float = 0.02, min_docs: int = 8, ratio: float = 6.0, evidence: float = 26.0, text: str = "text") -> Lexicon:
+    """The lexicon of the file ``path`` joined by stems learned from labelled
+    documents.
 
     The sample is the ``max_rows`` labels that come first by a hash of their
     ``doc_id``; labels with a NULL in ``doc_id`` or ``toxic`` are left out.  A
@@ -196,9 +211,10 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int
     ``min_share`` of the toxic documents and ``min_docs`` have it, toxic documents
     use it ``ratio`` times as often as others, and the log-likelihood ratio of the
     documents' numbers is at least ``evidence``.  Of stems that begin alike the
-    shortest is taken.  All learned stems get the weight that serves the sample
-    best, a clean document rejected counting as two toxic ones missed.  Without
-    labels, or where nothing is learned, the base lexicon is returned.
+    shortest is taken.  A learned stem weighs in proportion to the logarithm of that
+    ratio, by the scale that serves the sample best, a clean document rejected
+    counting as two toxic ones missed.  Without labels, or where nothing is learned,
+    the file's lexicon is returned.
     """
     picked = labels.where("doc_id is not null and toxic is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_rows)
     sample = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text")).join(F.broadcast(picked), "doc_id").select("toxic", "text")
@@ -216,7 +232,7 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int
                     x[2 + (y <= 0)] += k
         yield pa.RecordBatch.from_arrays([pa.array(list(found)), *(pa.array([x[i] for x in found.values()], pa.int64()) for i in range(4))], ["term", "toxic", "clean", "toxic_words", "clean_words"])
 
-    base = Lexicon(dict(BASE_TERMS), {}, EXCEPTIONS)
+    base = load(path)
     counted = sample.transform(batched).mapInArrow(count, "term string, toxic long, clean long, toxic_words long, clean_words long").groupBy("term").agg(*(F.sum(c).alias(c) for c in ("toxic", "clean", "toxic_words", "clean_words")))
     found = {r["term"]: tuple(r)[1:] for r in counted.where(f"term = '' or (toxic >= {int(min_docs)} and clean <= toxic * 50)").collect()}
     n_toxic, n_clean, toxic_words, clean_words = found.pop("", (0, 0, 0, 0))
@@ -229,15 +245,18 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int
         expected = (toxic + clean) * n_toxic / (n_toxic + n_clean)
         if 2 * (toxic * math.log(toxic / expected) - (toxic - expected)) < evidence or toxic < expected:
             continue
-        if not any(term[:i] in taken for i in range(3, len(term))) and not any(fold(w).startswith(fold(term)) for w in BASE_TERMS):
+        if not any(term[:i] in taken for i in range(3, len(term))) and not any(fold(w).startswith(fold(term)) for w in base.words):
             taken.add(term)
     # where a stem with and one without the accents are of the same words, one counts
     taken = {t for t in taken if t.isascii() or not any(fold(t).startswith(u) or u.startswith(fold(t)) and found[u][2] >= 0.8 * found[t][2] for u in taken if u.isascii())}
     if not taken:
         return base
+    odds = {t: math.log((found[t][2] + 0.5) / (toxic_words + 1) * (clean_words + 1) / (found[t][3] + 0.5)) for t in taken}
+    usual = sorted(odds.values())[len(odds) // 2]
+    share = {t: x / usual for t, x in odds.items()}
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        plain, learned = base.automaton(), Lexicon({}, dict.fromkeys(taken, 1.0), EXCEPTIONS).automaton()
+        plain, learned = base.automaton(), Lexicon({}, share, base.exceptions).automaton()
         for b in batches:
             got = [(score_text(plain, t)[0], score_text(learned, t)[0]) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([x for x, _ in got], pa.float64()), pa.array([x for _, x in got], pa.float64())], ["toxic", "base", "learned"])
@@ -249,7 +268,7 @@ def learn(spark: SparkSession, docs: DataFrame, labels: DataFrame, max_rows: int
         return sum(rejected) - 2.0 * (len(rejected) - sum(rejected)), cut
 
     cut = max(worth(i / 20) for i in range(4, 81))[1]
-    return Lexicon(dict(BASE_TERMS), dict.fromkeys(sorted(taken), round(THRESHOLD / cut, 4)), EXCEPTIONS)
+    return Lexicon(base.words, base.stems | {t: round(share[t] * THRESHOLD / cut, 4) for t in sorted(taken)}, base.exceptions)
 
 
 def fitted(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Lexicon:

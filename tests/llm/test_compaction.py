@@ -106,7 +106,7 @@ def test_arrivals_of_a_table_with_small_targets(spark, path, sf_dir):
     out = arrivals(spark, docs.repartition(5), path, target_bytes=40_000, smallest_bytes=4_000).collect()
     n = [r["rows"] for r in out if r["kind"] == "arrival"]
     assert n == sorted(n) and n[-1] == docs.count() and all(r["ok"] for r in out if r["kind"] == "arrival") and len(n) == 4
-    assert len(ShardStore(spark, path).versions()) >= 1 and any(m["operation"] == "compact" for m in [ShardStore(spark, path).manifest()])
+    assert ShardStore(spark, path).versions()[-1] > 4  # some were merges
 
 
 def test_other_columns_are_refused_and_order_is_free(spark, path):

@@ -6,6 +6,7 @@ import pytest
 from odd import documents
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from folioforge.llm import toxicity
 from folioforge.llm.toxicity import Lexicon, fold, score_text
@@ -38,6 +39,16 @@ def test_folding_finds_disguised_words(text):
     assert score_text(A, text)[1] == 1
 
 
+@pytest.mark.parametrize("text", ["tu es un imbécile et un connard", "eres un imbécil, un estúpido y una basura", "du bist ein Trottel und Versager", "y0u are a m0ron and a loser"])
+def test_the_file_has_four_languages(text):
+    assert score_text(toxicity.load().automaton(), text)[0] >= toxicity.THRESHOLD
+
+
+@pytest.mark.parametrize("text", ["le train est en retard", "el cubo de basura está lleno", "a degenerate matrix", "the trash can", "un retard de dix minutes"])
+def test_exception_phrases_of_the_file(text):
+    assert score_text(toxicity.load().automaton(), text)[1] == 0
+
+
 @pytest.mark.parametrize("text", ["grass class assess", "trash can", "a TRASH  can!", "stupid question", "", "?!", "12 34"])
 def test_clean_texts_score_nothing(text):
     assert score_text(A, text)[:2] == (0.0, 0)
@@ -63,6 +74,8 @@ def test_held_out_accuracy(spark):
     docs, labels = spark.read.parquet(f"{sf}/documents.parquet"), spark.read.parquet(f"{sf}/labels.parquet")
     lex = toxicity.learn(spark, docs, labels.where("doc_id % 2 = 0"))
     r = toxicity.score(docs, lex).join(labels.where("doc_id % 2 = 1").withColumnRenamed("toxic", "y"), "doc_id").selectExpr("sum(int(toxic and y = 1)) tp", "sum(int(toxic and y = 0)) fp", "sum(int(not toxic and y = 1)) fn", "count(*) n").first()
+    for (lang, found, all_) in toxicity.score(docs, lex).join(labels.where("doc_id % 2 = 1 and toxic = 1").select("doc_id"), "doc_id").groupBy("lang").agg(F.sum(F.col("toxic").cast("int")), F.count("*")).collect():
+        print("held out", lang, found, "of", all_)
     assert r["n"] > 1500 and r["tp"] >= 0.85 * (r["tp"] + r["fn"]) and r["fp"] <= 0.005 * r["n"]
 
 
@@ -106,5 +119,5 @@ def test_odd_tables(spark):
     assert out.where("toxic or tox_score is null or tox_hits is null").count() == 0 and out.count() == df.count()
     assert toxicity.score(df.limit(0), LEX).count() == 0
     none = spark.createDataFrame([(None, 1, None), (1, None, None)], "doc_id long, toxic int, quality int")
-    assert toxicity.learn(spark, df, none).stems == {} and toxicity.learn(spark, df.limit(0), none.limit(0)).words == toxicity.BASE_TERMS
+    assert toxicity.learn(spark, df, none).stems == {} and toxicity.learn(spark, df.limit(0), none.limit(0)).words == toxicity.load().words
     assert score_text(Lexicon({}).automaton(), "stupid") == (0.0, 0, 1)
