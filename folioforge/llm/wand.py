@@ -1,14 +1,27 @@
-"""Exact BM25 top-k search with block-max pruning over sharded inverted indexes.
+"""Exact BM25 top-k search with block-max WAND over sharded inverted indexes.
 
 ``build`` makes one index for each shard of documents: posting lists by term, cut
 into blocks by document range, with the greatest frequency and the least document
 length of each block.  ``search`` first sums the statistics of all shards (number
-of documents, mean length, document frequencies), then runs every query on every
-shard: the blocks' bounds add up to a bound for each document range, ranges are
-scored from the highest bound on, and those whose bound can't reach the k-th best
-score so far are skipped (the test of block-max WAND, with aligned blocks, so that
-the pivot is a range).  The shards' results are merged by score; as all use the
-global statistics, the outcome is that of scoring everything.
+of documents, mean length, document frequencies), then walks every query through
+every shard with a cursor on each of its posting lists:
+
+1. The cursors are ordered by where they stand; the bounds of whole lists are added
+   up in this order, and where they reach the k-th best score so far is the pivot.
+2. The cursors before the pivot move to it, block by block, without a look at their
+   postings; the bounds of the blocks there are added up.
+3. If these can reach the k-th best score, the postings of the pivot are scored;
+   if not, they are passed over.  All cursors at it move on.
+
+Blocks are cut at the same document numbers in all lists, so a pivot is a range of
+``BLOCK`` documents, and the blocks of a pivot all end together.  All queries walk
+side by side, in arrays.  The k best of a query go with its task from shard to
+shard, so later shards begin with a high threshold.  The tasks' results are merged
+by score; as all use the global statistics, the outcome is that of scoring
+everything.
+
+Terms are compared by digests of 64 bits: among a billion different words, the
+chance that any two share one is 3 %.
 """
 
 from __future__ import annotations
@@ -27,9 +40,13 @@ K = 10
 K1 = 1.2
 B = 0.75
 #: Documents in a block.
-BLOCK = 64
+BLOCK = 32
 #: Postings after which a shard is closed.
-SHARD_POSTINGS = 700_000
+SHARD_POSTINGS = 400_000
+#: Terms of the queries that are sent to the tasks at once; more are asked in turn.
+ASKED_TERMS = 2_000_000
+#: Cursors that walk side by side.
+LANES = 32_768
 #: Scores are rounded to this many places, and ranked so.
 PLACES = 6
 
@@ -67,6 +84,14 @@ def _array(column: pa.Array, row: int, kind: str) -> np.ndarray:
     return np.frombuffer(column[row].as_buffer(), kind)
 
 
+def _arrays(b: pa.RecordBatch, row: int) -> dict[str, np.ndarray]:
+    """A shard's arrays; frequencies take a byte each where all fit."""
+    out = {name: _array(b.column(name), row, "<u1" if name == "tfs" else t) for name, t in _ARRAYS.items()}
+    if len(out["tfs"]) != len(out["docs"]):
+        out["tfs"] = out["tfs"].view(_ARRAYS["tfs"])
+    return out
+
+
 def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held: list[tuple[np.ndarray, ...]] = []
     n_docs = n_posts = 0
@@ -76,7 +101,8 @@ def _build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.clear()
         made = index(*parts)
         cols = [pa.array([len(made["ids"])], pa.int64()), pa.array([int(made["lengths"].sum())], pa.int64())]
-        cols += [_blob(made[k], t) for k, t in _ARRAYS.items()]
+        made["tfs"] = made["tfs"].astype(np.uint8) if made["tfs"].max(initial=0) < 256 else made["tfs"]
+        cols += [_blob(made[k], "<u1" if made[k].dtype == np.uint8 else t) for k, t in _ARRAYS.items()]
         return pa.RecordBatch.from_arrays(cols, ["n_docs", "n_words", *_ARRAYS])
 
     for b in batches:
@@ -112,78 +138,118 @@ class Shard:
     def __init__(self, arrays: dict[str, np.ndarray], mean: float):
         self.__dict__.update(arrays)
         self.norm = K1 * (1 - B + B * self.lengths / mean)
-        self.mean = mean
-        self.n_blocks = -(-len(self.ids) // BLOCK)
+        self.n_ranges = -(-len(self.ids) // BLOCK) + 1
+        tf = self.block_tf
+        self.impact = tf * (K1 + 1) / (tf + K1 * (1 - B + B * self.block_length / mean))
+        many = np.diff(self.block_begins)
+        self.key = np.repeat(np.arange(len(many), dtype=np.int64), many) * self.n_ranges + self.blocks
+        self.bound = np.maximum.reduceat(self.impact, self.block_begins[:-1]) if len(many) else np.zeros(0)
         self.scored = 0
 
-    def top(self, terms: np.ndarray, idf: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, rounded scores) of the best k, by score and then id; ``terms``
-        in ascending order."""
-        at = np.searchsorted(self.terms, terms)
-        at[at == len(self.terms)] = 0
-        here = self.terms[at] == terms if len(self.terms) else np.zeros(len(terms), bool)
-        at, idf = at[here], idf[here]
-        bound = np.zeros(self.n_blocks)
-        spans = []
-        for t, w in zip(at.tolist(), idf.tolist()):
-            lo, hi = self.block_begins[t], self.block_begins[t + 1]
-            tf = self.block_tf[lo:hi]
-            bound[self.blocks[lo:hi]] += w * tf * (K1 + 1) / (tf + K1 * (1 - B + B * self.block_length[lo:hi] / self.mean))
-            spans.append((lo, hi, w))
-        order = np.argsort(-bound, kind="stable")
-        order = order[bound[order] > 0]
-        ids, scores, done, step = np.zeros(0, np.int64), np.zeros(0), 0, 4
-        live = np.zeros(self.n_blocks, bool)
-        while done < len(order):
-            if len(ids) >= k:  # a range below the k-th best can't change the result
-                order = order[: done + int(np.searchsorted(-bound[order[done:]], -(scores[-1] - 1e-5), "right"))]
-                if done >= len(order):
-                    break
-            now = order[done : done + step]
-            done, step = done + step, step * 2
-            live[:] = False
-            live[now] = True
-            docs, adds = [], []
-            for lo, hi, w in spans:
-                take = np.flatnonzero(live[self.blocks[lo:hi]]) + lo
-                if not len(take):
-                    continue
-                begin, n = self.block_posts[take], self.block_posts[take + 1] - self.block_posts[take]
-                p = np.arange(n.sum()) + np.repeat(begin - (np.cumsum(n) - n), n)
-                tf, d = self.tfs[p], self.docs[p]
-                docs.append(d)
-                adds.append(w * tf * (K1 + 1) / (tf + self.norm[d]))
-            d = np.concatenate(docs)
-            self.scored += len(d)
-            which, inv = np.unique(d, return_inverse=True)
-            s = np.round(np.bincount(inv, np.concatenate(adds)), PLACES)
-            ids, scores = np.concatenate([ids, self.ids[which]]), np.concatenate([scores, s])
-            best = np.lexsort((ids, -scores))[:k]
-            ids, scores = ids[best], scores[best]
-        return ids, scores
-
-
-def _query_terms(queries: DataFrame, id_col: str, text: str) -> list[tuple[int, np.ndarray]]:
-    t = queries.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("q"), F.coalesce(F.col(text), F.lit("")).alias("text")).toArrow()
-    ids, out = t["q"].to_pylist(), []
-    for at, part in textscan.slices(t["text"]):
-        row, h = textscan.distinct(*textscan.words(part)[:2])
-        cuts = np.searchsorted(row, np.arange(len(part) + 1))
-        out += [(ids[at + i], h[cuts[i] : cuts[i + 1]]) for i in range(len(part))]
-    return out
+    def walk(self, terms: np.ndarray, idf: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        """The k best of each query, in place: ``ids`` and ``scores`` (queries, k),
+        by score and then id, hold the best so far (-inf where there is none).
+        ``terms`` and ``idf`` (queries, terms) are those of the queries; an idf of
+        0 marks a place without a term."""
+        if not len(self.terms):
+            return
+        k, past = ids.shape[1], self.n_ranges
+        t = np.searchsorted(self.terms, terms)
+        t[t == len(self.terms)] = 0
+        here = (self.terms[t] == terms) & (idf > 0)
+        most = int(here.sum(1).max(initial=0))
+        if not most:
+            return
+        left = np.argsort(~here, 1, kind="stable")[:, :most]  # the terms that the shard has
+        t, w, here = (np.take_along_axis(x, left, 1) for x in (t, idf, here))
+        w = np.where(here, w, 0.0)
+        list_bound = w * self.bound[t]
+        at, end = self.block_begins[t].astype(np.int64), self.block_begins[t + 1].astype(np.int64)
+        blocks = np.r_[self.blocks, past].astype(np.int64)
+        now = np.where(here, blocks[at], past)
+        live = np.flatnonzero(here.any(1))
+        while len(live):
+            least = scores[live, -1] - 1e-5  # equal scores are told apart by the id
+            where = now[live]
+            order = np.argsort(where, 1)
+            reach = np.cumsum(np.take_along_axis(list_bound[live], order, 1), 1) >= least[:, None]
+            pivot = np.take_along_axis(np.take_along_axis(where, order, 1), reach.argmax(1)[:, None], 1)[:, 0]
+            on = reach[:, -1] & (pivot < past)
+            live, pivot, least, where = live[on], pivot[on], least[on], where[on]
+            row, col = np.nonzero(where < pivot[:, None])
+            if len(row):
+                own = (live[row], col)
+                at[own] = np.minimum(np.searchsorted(self.key, t[own] * np.int64(self.n_ranges) + pivot[row]), end[own])
+                now[own] = np.where(at[own] < end[own], blocks[at[own]], past)
+            row, col = np.nonzero(now[live] == pivot[:, None])
+            own = (live[row], col)
+            bound = np.bincount(row, w[own] * self.impact[at[own]], len(live))
+            can = bound >= least
+            take = can[row]
+            if take.any():
+                self._score(row[take], at[own][take], w[own][take], pivot, live, ids, scores)
+            at[own] += 1
+            now[own] = np.where(at[own] < end[own], blocks[at[own]], past)
+
+    def _score(self, row: np.ndarray, block: np.ndarray, w: np.ndarray, pivot: np.ndarray, live: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        begin, n = self.block_posts[block], self.block_posts[block + 1] - self.block_posts[block]
+        p = np.arange(n.sum()) + np.repeat(begin - (np.cumsum(n) - n), n)
+        tf, d = self.tfs[p], self.docs[p]
+        rows, lane = np.unique(row, return_inverse=True)
+        self.scored += len(p)
+        s = np.bincount(np.repeat(lane, n) * BLOCK + d % BLOCK, np.repeat(w, n) * tf * (K1 + 1) / (tf + self.norm[d]), len(rows) * BLOCK)
+        s = np.round(s, PLACES).reshape(-1, BLOCK)
+        s[s <= 0] = -np.inf
+        better = np.flatnonzero(s.max(1) >= scores[live[rows], -1])
+        if not len(better):
+            return
+        own, k = live[rows[better]], ids.shape[1]
+        doc = np.minimum(pivot[rows[better]][:, None] * BLOCK + np.arange(BLOCK), len(self.ids) - 1)
+        every_id, every = np.concatenate([ids[own], self.ids[doc]], 1), np.concatenate([scores[own], s[better]], 1)
+        by_id = np.argsort(every_id, 1, kind="stable")
+        every_id, every = np.take_along_axis(every_id, by_id, 1), np.take_along_axis(every, by_id, 1)
+        best = np.argsort(-every, 1, kind="stable")[:, :k]
+        ids[own], scores[own] = np.take_along_axis(every_id, best, 1), np.take_along_axis(every, best, 1)
+
+
+def _terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each distinct word of each query."""
+    for b in batches:
+        for at, part in textscan.slices(b.column(1)):
+            row, h = textscan.distinct(*textscan.words(part)[:2])
+            yield pa.RecordBatch.from_arrays([b.column(0).slice(at, len(part)).take(pa.array(row)), pa.array(h.view(np.int64))], ["q", "term"])
 
 
 def search(spark: SparkSession, shards: DataFrame, queries: DataFrame, k: int = K, id_col: str = "item_id", text: str = "text") -> DataFrame:
     """(query_id, rank, doc_id, score): the k best documents of each query.
 
-    ``shards`` is a written table of :func:`build`.  A query's distinct words
-    count once.  Documents that share no word with it aren't listed; ties go to
-    the lower ``doc_id``.  Queries with a NULL id or without a word give no rows,
-    as do no documents.  The queries are sent to all tasks: they are the small
-    side, whatever the corpus.
+    ``shards`` is a written table of :func:`build`.  Rows with the same query id (an
+    integer) are one query of all their words; each distinct word counts once.
+    Documents that share no word with it aren't listed; ties go to the lower
+    ``doc_id``.  Queries with a NULL id or without a word give no rows, as do no
+    documents and an empty table of queries.  Columns besides the id and the text
+    are not read.
+
+    Queries of up to ``ASKED_TERMS`` terms in all are sent to the tasks at once;
+    more are asked in turns of about that many, each on all shards.
     """
-    asked = _query_terms(queries, id_col, text)
-    vocabulary = np.unique(np.concatenate([h for _, h in asked] or [np.zeros(0, np.uint64)]))
+    asked = queries.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("long").alias("q"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    asked = written(spark, asked.transform(batched).mapInArrow(_terms, "q long, term long").distinct(), "asked")
+    turns = max(1, -(-asked.count() // ASKED_TERMS))
+    found = spark.createDataFrame([], "query_id long, doc_id long, score double")
+    for i in range(turns):
+        found = found.union(_ask(spark, shards, asked.where(F.pmod(F.xxhash64("q"), F.lit(turns)) == i), k))
+    best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
+    return found.withColumn("rank", best).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+
+
+def _ask(spark: SparkSession, shards: DataFrame, asked: DataFrame, k: int) -> DataFrame:
+    """(query_id, doc_id, score): the k best of each task for each query."""
+    t = asked.toArrow()  # ASKED_TERMS rows, about
+    q, h = t["q"].to_numpy(), t["term"].to_numpy().view(np.uint64)
+    order = np.lexsort((h, q))
+    q, h = q[order], h[order]
+    vocabulary = np.unique(h)
     sent = spark.sparkContext.broadcast(vocabulary)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,26 +270,31 @@ def search(spark: SparkSession, shards: DataFrame, queries: DataFrame, k: int =
     n_docs, n_words = totals.pop(-2, 0), totals.pop(-1, 0)
     df = np.zeros(len(vocabulary))
     df[list(totals)] = list(totals.values())
-    idf = np.log(1 + (n_docs - df + 0.5) / (df + 0.5))
-    plan = spark.sparkContext.broadcast(([(q, h, idf[np.searchsorted(vocabulary, h)]) for q, h in asked], max(n_words / max(n_docs, 1), 1e-9)))
+    idf = np.log(1 + (n_docs - df + 0.5) / (df + 0.5))[np.searchsorted(vocabulary, h)]
+    plan = spark.sparkContext.broadcast((q, h, idf, max(n_words / max(n_docs, 1), 1e-9)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        every, mean = plan.value
+        q, h, idf, mean = plan.value
+        names, begin, n = np.unique(q, return_index=True, return_counts=True)
+        ids, scores = np.zeros((len(names), k), np.int64), np.full((len(names), k), -np.inf)
+        groups, by_size = [], np.argsort(n, kind="stable")
+        while len(by_size):  # queries of like length, padded to the longest
+            fit = int(np.searchsorted(np.arange(1, len(by_size) + 1) * n[by_size] > LANES, True))
+            own, by_size = by_size[: max(1, fit)], by_size[max(1, fit) :]
+            place = begin[own][:, None] + np.arange(n[own].max())
+            some = np.arange(n[own].max()) < n[own][:, None]
+            groups.append((own, np.where(some, h[np.where(some, place, 0)], np.uint64(0)), np.where(some, idf[np.where(some, place, 0)], 0.0)))
         for b in batches:
             for i in range(len(b)):
-                shard = Shard({name: _array(b.column(name), i, t) for name, t in _ARRAYS.items()}, mean)
-                q, d, s = [], [], []
-                for query, terms, weight in every:
-                    ids, scores = shard.top(terms, weight, k)
-                    q.append(np.full(len(ids), query, np.int64))
-                    d.append(ids)
-                    s.append(scores)
-                if q:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(q)), pa.array(np.concatenate(d)), pa.array(np.concatenate(s))], ["query_id", "doc_id", "score"])
-
-    found = shards.transform(batched).mapInArrow(run, "query_id long, doc_id long, score double")
-    best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "doc_id"))
-    return found.withColumn("rank", best).where(F.col("rank") <= k).select("query_id", "rank", "doc_id", "score")
+                shard = Shard(_arrays(b, i), mean)
+                for own, terms, weight in groups:
+                    own_ids, own_scores = ids[own], scores[own]
+                    shard.walk(terms, weight, own_ids, own_scores)
+                    ids[own], scores[own] = own_ids, own_scores
+        row, col = np.nonzero(scores > -np.inf)
+        yield pa.RecordBatch.from_arrays([pa.array(names[row]), pa.array(ids[row, col]), pa.array(scores[row, col])], ["query_id", "doc_id", "score"])
+
+    return shards.transform(batched).mapInArrow(run, "query_id long, doc_id long, score double")
 
 
 def top_k(spark: SparkSession, docs: DataFrame, queries: DataFrame, k: int = K, id_col: str = "item_id", text: str = "text") -> DataFrame:

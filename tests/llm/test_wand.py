@@ -66,8 +66,36 @@ def test_blocks_are_skipped():
     pair, tf = np.unique(np.stack([doc.astype(np.uint64), term], 1), axis=0, return_counts=True)
     shard = wand.Shard(wand.index(np.arange(6000), np.array([len(h) for _, h, _ in rows]), pair[:, 0].astype(np.int64), pair[:, 1], tf), 30.0)
     q = np.array(sorted(set(terms("rare c1"))), np.uint64)
-    ids, _ = shard.top(q, np.array([8.0 if t == terms("rare")[0] else 0.1 for t in q]), 5)
-    assert set(ids) <= {i for i in range(6000) if i % 997 == 5} and shard.scored < 600
+    ids, scores = np.zeros((1, 5), np.int64), np.full((1, 5), -np.inf)
+    shard.walk(q[None], np.array([[8.0 if t == terms("rare")[0] else 0.1 for t in q]]), ids, scores)
+    assert set(ids[0]) <= {i for i in range(6000) if i % 997 == 5} and shard.scored < 800
+    again = shard.scored
+    shard.walk(q[None], np.array([[8.0 if t == terms("rare")[0] else 0.1 for t in q]]), np.zeros((1, 5), np.int64), np.full((1, 5), 1e9))
+    assert shard.scored == again  # a threshold from other shards that nothing here can reach
+
+
+def test_many_small_shards_turns_and_lanes(spark, monkeypatch):
+    docs, queries = corpus(700, 9)
+    want = brute(docs, queries, 10)
+    monkeypatch.setattr(wand, "SHARD_POSTINGS", 500)
+    monkeypatch.setattr(wand, "ASKED_TERMS", 100)
+    monkeypatch.setattr(wand, "LANES", 64)
+    got = {(r["query_id"], r["rank"]): (r["doc_id"], r["score"]) for r in wand.top_k(spark, spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(queries, "item_id long, text string")).collect()}
+    assert got.keys() == want.keys() and all(abs(got[x][1] - want[x][1]) < 2e-6 for x in want)
+
+
+def test_frequencies_above_a_byte(spark):
+    docs = [(1, "a " * 300 + "b"), (2, "a b"), (3, "b " * 70_000)]
+    got = {(r["query_id"], r["rank"]): (r["doc_id"], r["score"]) for r in wand.top_k(spark, spark.createDataFrame(docs, "doc_id long, text string").coalesce(1), spark.createDataFrame([(1, "a b")], "item_id long, text string")).collect()}
+    want = brute(docs, [(1, "a b")], 10)
+    assert {k: v[0] for k, v in got.items()} == {k: v[0] for k, v in want.items()} and all(abs(got[k][1] - want[k][1]) < 2e-6 for k in want)
+
+
+def test_rows_of_one_query_id_are_one_query(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "b c"), (3, "c")], "doc_id long, text string")
+    q = [(1, "a"), (1, "c"), (1, "a")]
+    got = {(r["query_id"], r["doc_id"]) for r in wand.top_k(spark, docs, spark.createDataFrame(q, "item_id long, text string")).collect()}
+    assert got == {(1, 1), (1, 2), (1, 3)}
 
 
 def test_ties_go_to_the_lower_id_over_shards(spark):
