@@ -4,9 +4,11 @@ components of an edge table."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -22,6 +24,7 @@ BROADCAST_BYTES = 32 << 20
 BATCH_BYTES = 4 << 20
 
 _own_dir: list[str] = []
+_written: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,6 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
         raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
     if not _own_dir:
         _own_dir.append("file://" + tempfile.mkdtemp(prefix="folioforge-"))
+        atexit.register(shutil.rmtree, _own_dir[0][7:], True)
     return _own_dir[0]
 
 
@@ -46,9 +50,29 @@ def written(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
     it is used."""
     path = f"{shared_dir(spark)}/folioforge/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, paths: list[str] | None = None) -> None:
+    """Delete tables that :func:`written` made, by default all of this session:
+    to be called when the results that read them have been saved."""
+    for p in list(_written if paths is None else paths):
+        q = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(p)
+        q.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(q, True)
+        if p in _written:
+            _written.remove(p)
+
+
+def settled(spark: SparkSession, make: Callable[[], DataFrame], tag: str) -> tuple[DataFrame, str]:
+    """What ``make`` returns, written, and its path; all else that was written on the
+    way to it is deleted."""
+    before = set(_written)
+    out = written(spark, make(), tag)
+    discard(spark, [p for p in _written[:-1] if p not in before])
+    return out, _written[-1]
+
+
 def batched(df: DataFrame) -> DataFrame:
     """``df``, in whose session Arrow batches are bounded by ``BATCH_BYTES`` unless
     the session sets a bound of its own."""
@@ -160,7 +184,8 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
         large = both.withColumn("m", F.least("u", F.min("v").over(by_u))).where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         small = large.where("v < u").withColumn("m", F.min("v").over(by_u))
         small = small.select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u"), F.col("m").alias("v")))).alias("e")).select("e.*").where("u > v").distinct()
-        now = written(spark, small, "edges")
+        before, now = _written[-1], written(spark, small, "edges")
+        discard(spark, [before])
         state = now.agg(F.count("*").alias("n"), F.count_distinct("u").alias("d")).first()
         if state["n"] == state["d"] and now.join(now.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
             return now.select(F.col("u").alias("node"), F.col("v").alias("root"))  # stars only: each node has one parent, which is no child
