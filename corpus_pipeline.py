@@ -15,12 +15,13 @@ their values up to the last stage, but for ``n_chars``, which follows the text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioforge.llm import packing, simhash, substring, toxicity
-from folioforge.llm.common import written
+from folioforge.llm.common import discard, settled
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -60,8 +61,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the documents of ``sf_dir``."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    """All stages over the documents of ``sf_dir``.  What a stage has written is
+    deleted as soon as the next one's result is."""
+    docs, old = spark.read.parquet(f"{sf_dir}/documents.parquet"), []
     for name, stage in STAGES[:-1]:
-        docs = written(spark, stage(spark, docs, sf_dir), name)
+        docs, path = settled(spark, partial(stage, spark, docs, sf_dir), name)
+        discard(spark, old)
+        old = [path]
     return STAGES[-1][1](spark, docs, sf_dir)
