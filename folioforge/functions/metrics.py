@@ -8,42 +8,57 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import text as T
-from .udf import pandas_udf
 
 PR = "struct<p:double,r:double,f1:double>"
 
 
 def pr_of(matched: Column, n_gold: Column, n_pred: Column, matched_pred: Column | None = None) -> Column:
     """The struct from counts."""
-    r = matched / F.greatest(n_gold, F.lit(1))
-    p = F.when(n_pred > 0, (matched if matched_pred is None else matched_pred) / F.greatest(n_pred, F.lit(1))).otherwise(F.lit(0.0))
-    f1 = F.when(p + r > 0, 2 * p * r / (p + r)).otherwise(F.lit(0.0))
-    return F.when(n_gold > 0, F.struct(p.alias("p"), r.alias("r"), f1.alias("f1"))).cast(PR)
+    counts = F.struct(matched.alias("m"), n_gold.alias("g"), n_pred.alias("n"), (matched if matched_pred is None else matched_pred).alias("mp"))
+
+    def rates(c: Column) -> Column:
+        r = c["m"] / F.greatest(c["g"], F.lit(1))
+        p = F.when(c["n"] > 0, c["mp"] / F.greatest(c["n"], F.lit(1))).otherwise(F.lit(0.0))
+        return F.when(c["g"] > 0, F.struct(p.alias("p"), r.alias("r")))
+
+    f1 = lambda x: F.when(x["p"] + x["r"] > 0, 2 * x["p"] * x["r"] / (x["p"] + x["r"])).otherwise(F.lit(0.0))
+    return T.let(T.let(counts, rates), lambda x: F.when(x.isNotNull(), F.struct(x["p"].alias("p"), x["r"].alias("r"), f1(x).alias("f1")))).cast(PR)
+
+
+def _sides(gold: Column, pred: Column, body: Callable[[Column, Column], Column]) -> Column:
+    """``body`` of both sides, each computed once."""
+    return T.let(F.struct(gold.alias("g"), pred.alias("p")), lambda x: body(x["g"], x["p"]))
 
 
 def _no_blank(values: Column, key: Callable[[Column], Column]) -> Column:
-    return F.filter(F.transform(F.coalesce(values, F.array().cast("array<string>")), key), lambda v: v != "")
+    return F.filter(F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v: key(v)), lambda v: v != "")
 
 
 def set_pr(gold: Column, pred: Column) -> Column:
     """Of two sets as arrays."""
-    g, p = F.array_distinct(gold), F.array_distinct(pred)
-    return pr_of(F.size(F.array_intersect(g, p)), F.size(g), F.size(p))
+    return _sides(F.array_distinct(gold), F.array_distinct(pred), lambda g, p: pr_of(F.size(F.array_intersect(g, p)), F.size(g), F.size(p)))
 
 
 def keyword_pr(gold: Column, pred: Column) -> Column:
     return set_pr(_no_blank(gold, T.normalize_text), _no_blank(pred, T.normalize_text))
 
 
+def keyword_recall(gold: Column, pred: Column) -> Column:
+    return keyword_pr(gold, pred)["r"]
+
+
 def identifier_pr(gold: Column, pred: Column) -> Column:
     return set_pr(_no_blank(gold, T.normalize_identifier), _no_blank(pred, T.normalize_identifier))
 
 
+def identifier_recall(gold: Column, pred: Column) -> Column:
+    return identifier_pr(gold, pred)["r"]
+
+
 def greedy_matches(gold: Column, pred: Column, match: Callable[[Column, Column], Column]) -> Column:
     """How many gold values find a partner, when each in turn takes the first
     prediction that matches and isn't taken."""
@@ -56,42 +71,43 @@ def greedy_matches(gold: Column, pred: Column, match: Callable[[Column, Column],
 
 
 def greedy_pr(gold: Column, pred: Column, match: Callable[[Column, Column], Column]) -> Column:
-    return pr_of(greedy_matches(gold, pred, match), F.size(gold), F.size(pred))
+    return _sides(gold, pred, lambda g, p: pr_of(greedy_matches(g, p, match), F.size(g), F.size(p)))
 
 
-def _worded(values: Column) -> Column:
-    return F.filter(F.coalesce(values, F.array().cast("array<string>")), lambda v: T.normalize_text(v) != "")
+def alike(g: Column, p: Column, least: float) -> Column:
+    """Whether the edit similarity is at least so much; the lengths decide most."""
+    return F.when(T.most_sim(g, p) < least, F.lit(False)).otherwise(T.edit_sim(g, p) >= least)
 
 
 def section_pr(gold: Column, pred: Column, least: float = 0.7) -> Column:
     """Headings, greedily matched by normalised edit similarity."""
-    norm = lambda v: F.transform(_worded(v), T.normalize_text)
-    return greedy_pr(norm(gold), norm(pred), lambda g, p: T.edit_sim(g, p) >= least)
+    norm = lambda v: _no_blank(v, T.normalize_text)
+    return greedy_pr(norm(gold), norm(pred), lambda g, p: alike(g, p, least))
 
 
 def caption_pr(gold: Column, pred: Column) -> Column:
-    return greedy_pr(_worded(gold), _worded(pred), T.caption_match)
+    return greedy_pr(_no_blank(gold, T.normalize_text), _no_blank(pred, T.normalize_text), T.normal_captions_match)
 
 
 def reference_pr(gold_dois: Column, pred_dois: Column, gold_titles: Column, pred_titles: Column) -> Column:
     """By DOI where both sides have any, by title else."""
-    g, p = _no_blank(gold_dois, T.normalize_identifier), _no_blank(pred_dois, T.normalize_identifier)
-    by_title = section_pr(_no_blank(gold_titles, T.normalize_reference_title), _no_blank(pred_titles, T.normalize_reference_title), 0.5)
-    has_title = F.size(_no_blank(gold_titles, T.normalize_reference_title)) > 0
-    return F.when((F.size(g) > 0) & (F.size(p) > 0), set_pr(g, p)).when(has_title, by_title)
+    by_title = _sides(_no_blank(gold_titles, T.normalize_reference_title), _no_blank(pred_titles, T.normalize_reference_title), lambda g, p: F.when(F.size(g) > 0, section_pr(g, p, 0.5)))
+    by_doi = lambda g, p: F.when((F.size(g) > 0) & (F.size(p) > 0), set_pr(g, p)).otherwise(by_title)
+    return _sides(_no_blank(gold_dois, T.normalize_identifier), _no_blank(pred_dois, T.normalize_identifier), by_doi)
 
 
 def author_match(gold: Column, predicted: Column) -> Column:
     """Whether any predicted name has the last word of the gold name."""
     last = F.try_element_at(T.author_tokens(gold), F.lit(-1))
-    return F.coalesce(F.exists(predicted, lambda p: F.array_contains(T.author_tokens(p), last)), F.lit(False))
+    return T.let(last, lambda w: F.coalesce(F.exists(predicted, lambda p: F.array_contains(T.author_tokens(p), w)), F.lit(False)))
 
 
 def authors_pr(gold: Column, pred: Column) -> Column:
     none = F.array().cast("array<string>")
-    g, p = F.coalesce(gold, none), F.coalesce(pred, none)
-    hits = lambda a, b: F.size(F.filter(a, lambda x: author_match(x, b)))
-    return pr_of(hits(g, p), F.size(g), F.size(p), hits(p, g))
+    words = lambda v: F.transform(F.coalesce(v, none), lambda x: T.author_tokens(x))
+    has = lambda x, b: F.coalesce(F.exists(b, lambda y: F.array_contains(y, F.try_element_at(x, F.lit(-1)))), F.lit(False))
+    hits = lambda a, b: F.size(F.filter(a, lambda x: has(x, b)))
+    return _sides(words(gold), words(pred), lambda g, p: pr_of(hits(g, p), F.size(g), F.size(p), hits(p, g)))
 
 
 def best_pr(triples: Column) -> Column:
@@ -99,57 +115,30 @@ def best_pr(triples: Column) -> Column:
     return F.aggregate(F.filter(triples, lambda t: t.isNotNull()), F.lit(None).cast(PR), lambda a, t: F.when(a.isNull() | (t["f1"] > a["f1"]), t).otherwise(a))
 
 
-@pandas_udf(PR)
-def reference_combined_pr(records: pd.Series, dois: pd.Series, titles: pd.Series) -> pd.DataFrame:
+def reference_combined_pr(records: Column, dois: Column, titles: Column) -> Column:
     """Gold records in turn take their DOI, or else the most similar title that is
     left, of a similarity of one half or more."""
-    out = [_combined(r, d, t) for r, d, t in zip(records, dois, titles)]
-    return pd.DataFrame(out, columns=["p", "r", "f1"])
-
-
-def _combined(records, dois, titles) -> tuple[float | None, float | None, float | None]:
-    if records is None or not len(records):
-        return None, None, None
-    left_dois = {py_identifier(str(d)) for d in (() if dois is None else dois) if d} - {""}
-    titles = [py_normalize(str(t)) for t in (() if titles is None else titles) if t]
-    total, free, matched = len(left_dois) + len(titles), list(range(len(titles))), 0
-    for r in records:
-        doi, title = py_identifier(r["doi"] or ""), py_normalize(r["title"] or "")
-        if doi and doi in left_dois:
-            left_dois.remove(doi)
-            matched += 1
-        elif title and free:
-            sims = [py_edit_sim(title, titles[i]) for i in free]
-            if max(sims) >= 0.5:
-                free.pop(sims.index(max(sims)))
-                matched += 1
-    r, p = matched / len(records), matched / total if total else 0.0
-    return p, r, 2 * p * r / (p + r) if p + r else 0.0
-
-
-def py_normalize(text: str) -> str:
-    """:func:`text.normalize_text` of a Python string."""
-    import re
-
-    v = re.sub("Â[·°]|â€[œ™]|Ã[ñ³´¡ª¨©]|ï¿½", "?", text).strip().lower()
-    return re.sub("[^a-z0-9' ]+", "", re.sub(r"\s+", " ", v))
-
-
-def py_identifier(text: str) -> str:
-    v = text.strip().lower().replace("doi:", "").strip()
-    return "".join(v.split()) if v.startswith("10.") else v
-
-
-def py_edit_sim(a: str, b: str) -> float:
-    if not a and not b:
-        return 1.0
-    before = list(range(len(b) + 1))
-    for i, x in enumerate(a, 1):
-        now = [i]
-        for j, y in enumerate(b, 1):
-            now.append(min(before[j] + 1, now[-1] + 1, before[j - 1] + (x != y)))
-        before = now
-    return 1 - before[-1] / max(len(a), len(b))
+    none = F.array().cast("array<string>")
+    asked = F.transform(records, lambda r: F.struct(T.normalize_identifier(r["doi"]).alias("doi"), T.normalize_text(r["title"]).alias("title")))
+    names = F.transform(F.filter(F.coalesce(titles, none), lambda t: T.text_of(t) != ""), lambda t: T.normalize_text(t))
+    start = F.struct(F.array_distinct(_no_blank(dois, T.normalize_identifier)).alias("d"), names.alias("t"), F.lit(0).alias("m"))
+
+    def without(values: Column, at: Column) -> Column:
+        return F.concat(F.slice(values, F.lit(1), at - 1), F.slice(values, at + 1, F.greatest(F.size(values) - at, F.lit(0))))
+
+    def step(acc: Column, r: Column) -> Column:
+        best = lambda s: F.struct(F.array_max(s).alias("sim"), F.array_position(s, F.array_max(s)).cast("int").alias("at"))
+        by_title = T.let(
+            T.let(F.transform(acc["t"], lambda t: T.edit_sim(r["title"], t)), best),
+            lambda b: F.when(b["sim"] >= 0.5, F.struct(acc["d"].alias("d"), without(acc["t"], b["at"]).alias("t"), (acc["m"] + 1).alias("m"))).otherwise(acc),
+        )
+        by_doi = F.struct(F.array_remove(acc["d"], r["doi"]).alias("d"), acc["t"].alias("t"), (acc["m"] + 1).alias("m"))
+        return F.when((r["doi"] != "") & F.array_contains(acc["d"], r["doi"]), by_doi).when((r["title"] != "") & (F.size(acc["t"]) > 0), by_title).otherwise(acc)
+
+    def of(s: Column) -> Column:
+        return pr_of(F.aggregate(asked, s, step)["m"], F.size(records), F.size(s["d"]) + F.size(s["t"]))
+
+    return F.when(F.size(records) > 0, T.let(start, of))
 
 
 def _has(df: DataFrame, side: str, name: str) -> bool:

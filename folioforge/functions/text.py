@@ -6,6 +6,8 @@ separators U+001C to U+001F.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -66,6 +68,11 @@ DOI = r"(?i)10\.\d{4,9}/[^\s<>\"'\\)]+"
 ORCID = r"(?i)^\s*(?:orcid[:\s]*|https?://orcid\.org/)?\d{4}-\d{4}-\d{4}-\d{3}[\dX]\s*$"
 
 
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often ``body`` uses it."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), F.lit(0))
+
+
 def text_of(x: Column) -> Column:
     return F.coalesce(x.cast("string"), F.lit(""))
 
@@ -107,57 +114,72 @@ def sentence_chunks(x: Column) -> Column:
 
 def is_boilerplate(x: Column) -> Column:
     """Deposit, funding and conflict statements that pass for an abstract."""
-    n = norm_ws(x)
-    labelled = n.rlike(rf"(?iuU)^\s*{_SUMMARY}\b") & (word_count(n) >= 40)
-    return (n != "") & ~labelled & n.rlike(DISCLAIMER)
+
+    def of(n: Column) -> Column:
+        labelled = n.rlike(rf"(?iuU)^\s*{_SUMMARY}\b") & (word_count(n) >= 40)
+        return (n != "") & ~labelled & n.rlike(DISCLAIMER)
+
+    return let(norm_ws(x), of)
 
 
 def language_tokens(x: Column) -> Column:
     return F.transform(F.regexp_extract_all(text_of(x), F.lit(r"([a-zA-ZáéíóúãõçñÁÉÍÓÚÃÕÇÑ]+)"), 1), F.lower)
 
 
-def language_hits(x: Column) -> dict[str, Column]:
-    """Stop-word hits of each language."""
-    tokens = language_tokens(x)
-    hits = lambda w: F.size(F.filter(tokens, lambda t: t.isin(list(w))))  # noqa: E731  # a lambda of two arguments would get the index
-    return {k: hits(w) for k, w in STOP_WORDS.items()}
+def language_hits(x: Column) -> Column:
+    """Stop-word hits of each language, as a struct."""
+
+    def of(tokens: Column) -> Column:
+        hits = lambda w: F.size(F.filter(tokens, lambda t: t.isin(list(w))))  # noqa: E731  # a lambda of two arguments would get the index
+        return F.struct(*(hits(w).alias(k) for k, w in STOP_WORDS.items()))
+
+    return let(language_tokens(x), of)
 
 
 def language_scores(x: Column) -> Column:
     """The hits as a map."""
-    return F.create_map(*(c for k, n in language_hits(x).items() for c in (F.lit(k), n)))
+    return let(language_hits(x), lambda h: F.create_map(*(c for k in STOP_WORDS for c in (F.lit(k), h[k]))))
 
 
-def _argmax(hits: dict[str, Column]) -> Column:
+def detected(hits: Column) -> Column:
+    """The language of most hits, ``en`` before ``pt`` before ``es`` in a tie."""
+    best = F.greatest(*(hits[k] for k in STOP_WORDS))
     out = F.lit("unknown")
-    best = F.greatest(*hits.values())
-    for k in reversed(hits):
+    for k in reversed(STOP_WORDS):
         out = F.when((hits[k] == best) & (best > 0), k).otherwise(out)
     return out
 
 
 def detect_language(x: Column) -> Column:
-    """The language of most hits, ``en`` before ``pt`` before ``es`` in a tie."""
-    return _argmax(language_hits(x))
+    return let(language_hits(x), detected)
+
+
+def mixed(hits: Column) -> Column:
+    """Whether the second language has half the hits of the first, and three."""
+    return let(F.sort_array(F.array(*(hits[k] for k in STOP_WORDS)), asc=False), lambda s: (s[0] > 0) & (s[1] >= 3) & (s[1] / F.greatest(s[0], F.lit(1)) >= 0.5))
 
 
 def is_mixed_language(x: Column) -> Column:
-    s = F.sort_array(F.array(*language_hits(x).values()), asc=False)
-    return (s[0] > 0) & (s[1] >= 3) & (s[1] / F.greatest(s[0], F.lit(1)) >= 0.5)
+    return let(language_hits(x), mixed)
+
+
+def language_segments(lines: Column) -> Column:
+    """Of a text's lines, the languages that are found in them, the first first,
+    without ``unknown``."""
+    return F.filter(F.array_distinct(F.transform(lines, detect_language)), lambda k: k != "unknown")
 
 
 def canonical_language(x: Column) -> Column:
-    v = F.lower(strip(x))
-    return F.when(v.isin("pt", "por"), "pt").when(v.isin("en", "eng"), "en").when(v.isin("es", "spa"), "es").when(v == "", "unknown").otherwise(v)
+    of = lambda v: F.when(v.isin("pt", "por"), "pt").when(v.isin("en", "eng"), "en").when(v.isin("es", "spa"), "es").when(v == "", "unknown").otherwise(v)
+    return let(F.lower(strip(x)), of)
 
 
 def score_abstract(x: Column) -> Column:
     """How much a text looks like a whole abstract; minus infinity for blanks."""
-    n = word_count(x)
     one = lambda c, v: F.when(c, F.lit(v)).otherwise(F.lit(0.0))
-    score = F.least(n / F.lit(200.0), F.lit(1.0)) + one(is_boilerplate(x), -5.0)
+    score = one(is_boilerplate(x), -5.0)
     score = score + one(text_of(x).rlike(r"(?iuU)^\s*(?:an|a|in|we|this|the|abstract)\b"), 2.0) + one(text_of(x).rlike(r"(?iuU)^\s*(?:resumen|resumo)[:\s]"), -1.0)
-    score = score + one(n.between(50, 500), 1.0) + one(n < 30, -2.0) + one(n > 800, -1.0)
+    score = score + let(word_count(x), lambda n: F.least(n / F.lit(200.0), F.lit(1.0)) + one(n.between(50, 500), 1.0) + one(n < 30, -2.0) + one(n > 800, -1.0))
     return F.when(strip(x) == "", F.lit(float("-inf"))).otherwise(score)
 
 
@@ -180,18 +202,15 @@ def is_deposit_doi(x: Column) -> Column:
 
 
 def is_figure_caption(x: Column) -> Column:
-    s = strip(x)
-    return F.length(s).between(10, 5000) & s.rlike(FIGURE_LABEL)
+    return let(strip(x), lambda s: F.length(s).between(10, 5000) & s.rlike(FIGURE_LABEL))
 
 
 def is_table_caption(x: Column) -> Column:
-    s = strip(x)
-    return F.length(s).between(10, 5000) & s.rlike(TABLE_LABEL)
+    return let(strip(x), lambda s: F.length(s).between(10, 5000) & s.rlike(TABLE_LABEL))
 
 
 def caption_is_complete(x: Column) -> Column:
-    c = norm_ws(x)
-    return (word_count(c) >= 5) & c.rlike(r"[.!?)]\s*$")
+    return let(norm_ws(x), lambda c: (word_count(c) >= 5) & c.rlike(r"[.!?)]\s*$"))
 
 
 def is_caption_label(s: Column) -> Column:
@@ -204,14 +223,16 @@ def space_words(s: Column) -> Column:
 
 
 def is_section_heading(x: Column) -> Column:
-    s = strip(F.regexp_replace(strip(x), ":+$", ""))
-    digits = strip(F.translate(s, ".,", "")).rlike(r"(?U)^\d+$")
-    return F.length(s).between(2, 200) & ~is_caption_label(s) & ~digits & space_words(s).between(1, 20)
+
+    def of(s: Column) -> Column:
+        digits = strip(F.translate(s, ".,", "")).rlike(r"(?U)^\d+$")
+        return F.length(s).between(2, 200) & ~is_caption_label(s) & ~digits & space_words(s).between(1, 20)
+
+    return let(strip(F.regexp_replace(strip(x), ":+$", "")), of)
 
 
 def is_reference_title(x: Column) -> Column:
-    s = strip(x)
-    return F.length(s).between(10, 400) & ~is_caption_label(s) & space_words(s).between(3, 60)
+    return let(strip(x), lambda s: F.length(s).between(10, 400) & ~is_caption_label(s) & space_words(s).between(3, 60))
 
 
 def is_reference_entry_start(x: Column) -> Column:
@@ -226,16 +247,14 @@ def clean_headings(x: Column) -> Column:
 
 
 def strip_heading_number(x: Column) -> Column:
-    n = norm_ws(x)
-    tail = F.regexp_extract(n, r"^\s*(?:\d+(?:\.\d+)*|[IVXivx]+)[.)]?\s+(.+)$", 1)
-    return F.when(tail != "", F.trim(tail)).otherwise(n)
+    tail = lambda n: F.regexp_extract(n, r"^\s*(?:\d+(?:\.\d+)*|[IVXivx]+)[.)]?\s+(.+)$", 1)
+    return let(norm_ws(x), lambda n: let(tail(n), lambda t: F.when(t != "", F.trim(t)).otherwise(n)))
 
 
 def has_heading_initial(x: Column) -> Column:
     """A Greek letter, or the first letter or word a capital one."""
-    s = norm_ws(x)
-    first = F.regexp_extract(s, r"(?U)([^\W\d_]+)", 1)
-    return s.rlike(r"^[Ͱ-Ͽ]") | first.rlike(r"\p{Lu}")
+    first = lambda s: F.regexp_extract(s, r"(?U)([^\W\d_]+)", 1)
+    return let(norm_ws(x), lambda s: s.rlike(r"^[Ͱ-Ͽ]") | first(s).rlike(r"\p{Lu}"))
 
 
 def is_page_marker(x: Column) -> Column:
@@ -249,8 +268,12 @@ def strip_mojibake(x: Column) -> Column:
 
 def normalize_text(x: Column) -> Column:
     """Lower-case ASCII letters, digits, apostrophes and single spaces."""
-    lowered = F.lower(strip(strip_mojibake(x)))
-    return F.regexp_replace(F.regexp_replace(lowered, rf"(?U){WS}+", " "), "[^a-z0-9' ]+", "")
+
+    def of(v: Column) -> Column:
+        lowered = F.lower(strip(strip_mojibake(v)))
+        return F.when(~v.rlike("[^a-z0-9']"), v).otherwise(F.regexp_replace(F.regexp_replace(lowered, rf"(?U){WS}+", " "), "[^a-z0-9' ]+", ""))
+
+    return let(text_of(x), of)  # most words are normal as they are
 
 
 def normalize_tokens(x: Column) -> Column:
@@ -265,20 +288,28 @@ def author_tokens(x: Column) -> Column:
 
 
 def scalar_match(gold: Column, predicted: Column) -> Column:
-    g = normalize_text(gold)
-    return F.when(g == "", None).otherwise((g == normalize_text(predicted)).cast("int"))
+    return let(normalize_text(gold), lambda g: F.when(g == "", None).otherwise((g == normalize_text(predicted)).cast("int")))
 
 
 def normalize_identifier(x: Column) -> Column:
     n = strip(F.replace(F.lower(strip(x)), F.lit("doi:"), F.lit("")))
-    return F.when(n.startswith("10."), F.regexp_replace(n, rf"(?U){WS}+", "")).otherwise(n)
+    return let(n, lambda v: F.when(v.startswith("10."), F.regexp_replace(v, rf"(?U){WS}+", "")).otherwise(v))
 
 
 def edit_sim(a: Column, b: Column) -> Column:
     """1 - Levenshtein distance / longer length; two empty texts are equal."""
-    a, b = text_of(a), text_of(b)
-    longer = F.greatest(F.length(a), F.length(b))
-    return F.when(longer == 0, F.lit(1.0)).otherwise(1 - F.levenshtein(a, b) / longer)
+
+    def of(x: Column) -> Column:
+        longer = F.greatest(F.length(x["a"]), F.length(x["b"]))
+        return F.when(x["a"] == x["b"], F.lit(1.0)).otherwise(1 - F.levenshtein(x["a"], x["b"]) / longer)
+
+    return let(F.struct(text_of(a).alias("a"), text_of(b).alias("b")), of)
+
+
+def most_sim(a: Column, b: Column) -> Column:
+    """What the edit similarity is at most, by the lengths."""
+    longer = F.greatest(F.length(a), F.length(b), F.lit(1))
+    return 1 - F.abs(F.length(a) - F.length(b)) / longer
 
 
 def normalized_edit_sim(a: Column, b: Column) -> Column:
@@ -295,17 +326,23 @@ _ALIASES = {"eng": "en eng", "por": "pt por pt-br ptbr po", "spa": "es spa sp",
 def language_match(gold: Column, predicted: Column) -> Column:
     """1 or 0 by language, whatever the code; NULL without a gold language."""
     table = F.create_map(*(F.lit(c) for k, names in _ALIASES.items() for n in names.split() for c in (n, k)))
-    code = lambda x: F.coalesce(F.try_element_at(table, normalize_text(x)), normalize_text(x))
-    return F.when(text_of(gold) == "", None).when(code(predicted) == "", 0).otherwise((code(gold) == code(predicted)).cast("int"))
+    code = lambda x: let(normalize_text(x), lambda v: F.coalesce(F.try_element_at(table, v), v))
+    return F.when(text_of(gold) == "", None).otherwise(let(code(predicted), lambda p: F.when(p == "", 0).otherwise((code(gold) == p).cast("int"))))
 
 
 def caption_match(gold: Column, predicted: Column) -> Column:
     """Similar, or the shorter (12 characters or more) begins the longer and has
     at least two fifths of its length."""
-    g, p = normalize_text(gold), normalize_text(predicted)
-    begins = (F.length(g) <= F.length(p)) & p.startswith(g) | (F.length(p) < F.length(g)) & g.startswith(p)
+    return let(F.struct(normalize_text(gold).alias("g"), normalize_text(predicted).alias("p")), lambda x: normal_captions_match(x["g"], x["p"]))
+
+
+def normal_captions_match(g: Column, p: Column) -> Column:
+    """The same of normalised captions.  The lengths bound the similarity, so most
+    pairs need no edit distance."""
     short, long = F.least(F.length(g), F.length(p)), F.greatest(F.length(g), F.length(p))
-    return (edit_sim(g, p) >= 0.75) | (g != "") & (p != "") & (short >= 12) & begins & (short / F.greatest(long, F.lit(1)) >= 0.4)
+    begins = (F.length(g) <= F.length(p)) & p.startswith(g) | (F.length(p) < F.length(g)) & g.startswith(p)
+    begun = (short >= 12) & (short / F.greatest(long, F.lit(1)) >= 0.4) & begins
+    return F.when(begun, F.lit(True)).when(most_sim(g, p) < 0.75, F.lit(False)).otherwise(edit_sim(g, p) >= 0.75)
 
 
 def normalize_reference_title(x: Column) -> Column:

@@ -4,6 +4,8 @@ wherever their order means something."""
 
 from __future__ import annotations
 
+import re
+import unicodedata
 from collections.abc import Callable
 from difflib import SequenceMatcher
 
@@ -42,8 +44,12 @@ def select_from(selected: DataFrame, candidates: DataFrame, by: list[str], value
 
 def select_values(selected: Column, candidates: Column) -> Column:
     """The same for arrays."""
-    found = F.transform(keep_first_values(selected), lambda s: F.try_element_at(F.filter(keep_first_values(candidates), lambda c: T.support_key(c) == T.support_key(s)), F.lit(1)))
-    return F.filter(found, lambda v: v.isNotNull())
+    keyed = F.transform(keep_first_values(candidates), lambda c: F.struct(T.support_key(c).alias("k"), c.alias("c")))
+
+    def pick(s: Column, known: Column) -> Column:
+        return T.let(T.support_key(s), lambda k: F.get(F.filter(known, lambda x: x["k"] == k), F.lit(0))["c"])
+
+    return T.let(keyed, lambda known: F.filter(F.transform(keep_first_values(selected), lambda s: pick(s, known)), lambda v: v.isNotNull()))
 
 
 def argmax(df: DataFrame, by: list[str], score: str, pos: str = "pos") -> DataFrame:
@@ -102,10 +108,56 @@ def numbered_blocks(blocks: Column, most_each: int = 1200, most: int = 8000) ->
 def supported(candidate: Column, source: Column) -> Column:
     """Whether a source supports a text literally: it contains it, or of 20 words or
     more nine tenths occur in it.  (:func:`supported_by` adds similarity.)"""
-    c, s = T.support_key(candidate), T.support_key(source)
-    tokens, there = T.support_tokens(c), T.support_tokens(s)
-    overlap = F.size(F.filter(tokens, lambda t: F.array_contains(there, t))) / F.greatest(F.size(tokens), F.lit(1))
-    return (c != "") & (s != "") & (F.contains(s, c) | (F.size(tokens) >= 20) & (F.size(there) > 0) & (overlap >= 0.9))
+
+    def overlaps(x: Column) -> Column:
+        known = F.filter(x["t"], lambda t: F.array_contains(x["there"], t))
+        return (F.size(x["t"]) >= 20) & (F.size(x["there"]) > 0) & (F.size(known) / F.greatest(F.size(x["t"]), F.lit(1)) >= 0.9)
+
+    def of(k: Column) -> Column:
+        words = F.struct(T.support_tokens(k["c"]).alias("t"), F.array_distinct(T.support_tokens(k["s"])).alias("there"))
+        return F.when((k["c"] == "") | (k["s"] == ""), F.lit(False)).when(F.contains(k["s"], k["c"]), F.lit(True)).otherwise(T.let(words, overlaps))
+
+    return T.let(F.struct(T.support_key(candidate).alias("c"), T.support_key(source).alias("s")), of)
+
+
+#: Words of a passage that are looked up.
+GRAM = 5
+
+
+def _runs(w: Column, m: int) -> Column:
+    """The digests of all runs of ``m`` words."""
+    return F.array_distinct(F.transform(F.sequence(F.lit(1), F.size(w) - m + 1), lambda i: F.xxhash64(F.slice(w, i, F.lit(m)))))
+
+
+def holding(sources: DataFrame, passages: DataFrame, source: str, passage: str, text: str = "text", wanted: str = "passage") -> DataFrame:
+    """(passage, source): which sources hold which passages literally, by their keys.
+
+    Where a passage stands, its inner words stand as words: so a passage is looked
+    up by its second to sixth word (of shorter ones, by all inner words) among the
+    runs of words of the sources, and what is found is verified.  Passages of one
+    or two words have no inner word; they are compared with each source.  Blank
+    passages are in none.
+    """
+    p = passages.select(F.col(passage), T.support_key(F.col(wanted)).alias("_c")).where("_c != ''").withColumn("_w", F.split("_c", " "))
+    p = p.withColumn("_m", F.least(F.size("_w") - 2, F.lit(GRAM)))
+    sizes = sorted(r[0] for r in p.select("_m").distinct().collect())  # as many as GRAM and one
+    s = sources.select(F.col(source), T.support_key(F.col(text)).alias("_k"))
+    found = []
+    for m in sizes:
+        if m <= 0:
+            found.append(s.join(p.where("_m <= 0").select(passage, "_c"), F.contains("_k", "_c")).select(passage, source))
+            continue
+        asked = p.where(F.col("_m") == m).select(passage, "_c", F.xxhash64(F.slice("_w", 2, m)).alias("_h"))
+        have = s.select(source, T.let(F.split("_k", " "), lambda w: F.when(F.size(w) >= m, _runs(w, m))).alias("_r"))  # noqa: B023
+        near = have.select(source, F.explode("_r").alias("_h")).join(asked.select(passage, "_h"), "_h").select(passage, source)
+        sure = near.join(asked.select(passage, "_c"), passage).join(s, source).where(F.contains("_k", "_c"))
+        found.append(sure.select(passage, source).distinct())
+    if not found:
+        return p.join(s, F.lit(False)).select(passage, source)
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
 
 
 @pandas_udf("boolean")
@@ -114,8 +166,104 @@ def _similar(a: pd.Series, b: pd.Series, least: pd.Series) -> pd.Series:
 
 
 def supported_by(candidate: Column, source: Column, least: float = 0.92) -> Column:
-    """:func:`supported`, or of 80 characters or more and about equal."""
-    return supported(candidate, source) | _similar(T.support_key(candidate), T.support_key(source), F.lit(least))
+    """:func:`supported`, or of 80 characters or more and about equal.  The similarity
+    is asked only where it can decide: of texts that aren't supported literally and
+    whose lengths allow for it."""
+    c, s, literal = T.support_key(candidate), T.support_key(source), supported(candidate, source)
+    longest = 2.0 * F.least(F.length(c), F.length(s)) / F.greatest(F.length(c) + F.length(s), F.lit(1))
+    asked = ~literal & (F.length(c) >= 80) & (longest >= least)
+    return literal | _similar(F.when(asked, c).otherwise(""), F.when(asked, s).otherwise(""), F.lit(least))
+
+
+@pandas_udf("array<string>")
+def block_tokens(text: pd.Series) -> pd.Series:
+    """The distinct words of a text after compatibility decomposition, in lower case,
+    but for numbers (which line numbers of a layout leave in it)."""
+    return pd.Series([sorted({w for w in re.findall(r"\w+", unicodedata.normalize("NFKD", t or "").lower()) if not w.isdigit()}) for t in text])
+
+
+def near_marker(text: Column, most: int = 5000, before: int = 200, marker: str = r"(?iuU)\b(?:abstract|resumen|resumo)\b") -> Column:
+    """``most`` characters of a text, from a little before its first abstract marker;
+    without one, its begin."""
+    x = T.text_of(text)
+    return T.let(F.regexp_instr(x, F.lit(marker)), lambda at: F.substr(x, F.greatest(at - before, F.lit(1)), F.lit(most)))
+
+
+def best_abstract(candidates: Column, preferred: Column) -> Column:
+    """The candidate abstract of the highest score: of those that aren't statements,
+    that are long enough where any is long, that are of one language where any such
+    is long, and of the preferred language where any is; each of these rules holds
+    only if it leaves something.  '' without a candidate."""
+    none = F.array().cast("array<string>")
+    kept = F.filter(F.coalesce(candidates, none), lambda c: T.strip(c) != "")
+    judged = F.transform(kept, lambda c: T.let(T.language_hits(c), lambda h: F.struct(c.alias("t"), T.word_count(c).alias("n"), T.is_boilerplate(c).alias("b"), T.mixed(h).alias("m"), T.detected(h).alias("l"), T.score_abstract(c).alias("s"))))
+
+    def narrowed(rows: Column, rule: Callable[[Column], Column], needed: Callable[[Column], Column]) -> Column:
+        return T.let(rows, lambda r: F.when(F.exists(r, lambda x: needed(x)), F.filter(r, lambda x: rule(x))).otherwise(r))
+
+    rows = narrowed(judged, lambda x: ~x["b"], lambda x: ~x["b"])
+    rows = narrowed(rows, lambda x: x["n"] >= 15, lambda x: x["n"] >= 30)
+    rows = narrowed(rows, lambda x: ~x["m"], lambda x: ~x["m"] & (x["n"] >= 30))
+    wanted = lambda x: (preferred != "unknown") & (preferred != "") & (x["l"] == preferred)
+    rows = narrowed(rows, wanted, wanted)
+    start = F.struct(F.lit("").alias("t"), F.lit(float("-inf")).alias("s"))
+    return F.aggregate(rows, start, lambda a, x: F.when((x["s"] > a["s"]) | (a["t"] == ""), F.struct(x["t"].alias("t"), x["s"].alias("s"))).otherwise(a))["t"]
+
+
+def abstract_blocks(windows: DataFrame, abstracts: DataFrame) -> DataFrame:
+    """(record_id, pos, text): the parser's abstracts (record_id, pos, text), then the
+    windows (record_id, block, text) after abstract headings; statements and what
+    another one contains are dropped."""
+    own = abstracts.select("record_id", "pos", "text")
+    every = own.unionByName(windows.select("record_id", (F.col("block") + 1_000_000).alias("pos"), "text"))
+    return without_contained(every.where(~T.is_boilerplate(F.col("text"))), ["record_id"]).select("record_id", "pos", "text")
+
+
+def with_preprint_identifiers(record_id: Column, identifiers: Column) -> Column:
+    """Identifiers but for authors' ones, and those that follow from the record's
+    id; distinct."""
+    own = F.filter(F.coalesce(identifiers, F.array().cast("array<string>")), lambda v: (T.text_of(v) != "") & ~T.is_orcid(v))
+    return F.array_distinct(F.concat(own, T.preprint_identifiers(record_id)))
+
+
+def coalesced(records: list[str], scalars: list[str], lists: list[str]) -> dict[str, Column]:
+    """Each field of the first of the struct columns that has it filled."""
+    none = F.array().cast("array<string>")
+    out = {k: F.coalesce(*(F.nullif(T.strip(F.col(f"{r}.{k}")), F.lit("")) for r in records), F.lit("")) for k in scalars}
+    filled = lambda c: F.when(F.size(T.safe_list(c)) > 0, T.safe_list(c))
+    return out | {k: F.coalesce(*(filled(F.col(f"{r}.{k}")) for r in records), none) for k in lists}
+
+
+def target_languages(keywords: Column, available: Column) -> Column:
+    """The languages to translate keywords to: English from Portuguese and Spanish;
+    from English, those that the article has marks of; else all of these."""
+    of = T.detect_language(F.array_join(keywords, " "))
+    here = F.coalesce(available, F.array().cast("array<string>"))
+    from_en = F.filter(F.array(F.lit("es"), F.lit("pt")), lambda k: F.array_contains(here, k))
+    rest = F.array_sort(F.array_distinct(F.filter(here, lambda k: k != "unknown")))
+    chosen = T.let(of, lambda k: F.when(k.isin("pt", "es"), F.array(F.lit("en"))).when(k == "en", from_en).otherwise(rest))
+    return F.when(F.size(F.coalesce(keywords, F.array().cast("array<string>"))) > 0, chosen).otherwise(F.array().cast("array<string>"))
+
+
+def closest(names: DataFrame, wanted: DataFrame, n: int = 5, least: float = 0.4) -> DataFrame:
+    """(wanted, name, score): the most similar names (name) of each that is wanted
+    (wanted), a few of either: model lists."""
+    pairs = wanted.select("wanted").join(names.select("name"), F.levenshtein("wanted", "name") <= F.greatest(F.length("wanted"), F.length("name")) * (1 - least))
+    scored = pairs.withColumn("score", T.edit_sim(F.col("wanted"), F.col("name"))).where(F.col("score") >= least)
+    rank = F.row_number().over(Window.partitionBy("wanted").orderBy(F.desc("score"), "name"))
+    return scored.withColumn("_r", rank).where(F.col("_r") <= n).drop("_r")
+
+
+def resolved(wanted: DataFrame, names: DataFrame) -> DataFrame:
+    """(wanted, name): the name that equals the one wanted, or else the first that
+    does when case and punctuation are left out; NULL without either."""
+    own = names.select("name", T.canonical_model(F.col("name")).alias("k"), T.canonical_model(F.substring_index("name", "/", -1)).alias("last"))
+    keyed = wanted.select("wanted", T.canonical_model(F.col("wanted")).alias("k"), T.canonical_model(F.substring_index("wanted", "/", -1)).alias("last"))
+    exact = keyed.join(own.select("name", F.lit(0).alias("rank")), F.col("wanted") == F.col("name")).select("wanted", "name", "rank")
+    same = keyed.join(own, "k").select("wanted", "name", F.lit(1).alias("rank"))
+    tail = keyed.drop("k").join(own.drop("k"), "last").select("wanted", "name", F.lit(2).alias("rank"))
+    best = exact.unionByName(same).unionByName(tail).groupBy("wanted").agg(F.min_by("name", F.struct("rank", "name")).alias("name"))
+    return wanted.select("wanted").join(best, "wanted", "left")
 
 
 def first_nonempty(*values: Column) -> Column:
@@ -138,7 +286,7 @@ def normalize_identifiers(values: Column) -> Column:
 def without_own(references: Column, identifiers: Column) -> Column:
     """References but for the article's own DOIs (identifiers with a slash)."""
     own = F.filter(F.transform(F.coalesce(identifiers, F.array().cast("array<string>")), T.normalize_identifier), lambda v: F.contains(v, F.lit("/")))
-    return F.filter(references, lambda r: ~F.array_contains(own, T.normalize_identifier(r)))
+    return T.let(own, lambda mine: F.filter(references, lambda r: ~F.array_contains(mine, T.normalize_identifier(r))))
 
 
 def without_lone_deposits(dois: Column) -> Column:

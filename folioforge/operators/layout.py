@@ -181,3 +181,25 @@ def previous_text(lines: DataFrame) -> DataFrame:
 def body_start(lines: DataFrame, heading: str = r"(?iU)^\s*(?:(?:1|i)[.)]?\s+)?introduc(?:tion|ción|cion|ão|ção)\b") -> DataFrame:
     """(record_id, start): the position of the first introduction, or 0."""
     return lines.groupBy("record_id").agg(F.coalesce(F.min(F.when(T.norm_ws(F.col("text")).rlike(heading), F.col("pos"))), F.lit(0)).alias("start"))
+
+
+BANNER = r"(?iuU)\b(?:bio|med)rxiv\s+preprint\b"
+#: Marks of a language in front matter.
+LANGUAGE_MARKS = {"en": r"(?iuU)\babstract\b", "pt": r"(?iuU)\bresumo\b", "es": r"(?iuU)\bresumen\b"}
+
+
+def _first_lines(lines: DataFrame, n: int) -> DataFrame:
+    return lines.withColumn("_n", F.row_number().over(Window.partitionBy("record_id").orderBy("pos"))).withColumn("_t", F.when(F.col("_n") <= n, T.norm_ws(F.col("text"))))
+
+
+def has_banner(lines: DataFrame, banner: str = BANNER, n: int = 160) -> DataFrame:
+    """(record_id, found): whether any of the first lines has a preprint server's
+    banner."""
+    return _first_lines(lines, n).groupBy("record_id").agg(F.coalesce(F.bool_or(F.col("_t").rlike(banner)), F.lit(False)).alias("found"))
+
+
+def languages_of(lines: DataFrame, marks: dict[str, str] | None = None, n: int = 200) -> DataFrame:
+    """(record_id, languages): those whose mark any of the first lines has, sorted."""
+    df, marks = _first_lines(lines, n), LANGUAGE_MARKS if marks is None else marks
+    found = F.array_compact(F.array(*(F.when(F.bool_or(F.col("_t").rlike(m)), F.lit(k)) for k, m in sorted(marks.items()))))
+    return df.groupBy("record_id").agg(found.alias("languages"))

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import difflib
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -37,10 +38,10 @@ def unpivot(df: DataFrame, metrics: list[str], keep: list[str] | None = None) ->
 
 
 @pandas_udf("array<double>")
-def bootstrap_ci(values: pd.Series) -> list[float]:
+def bootstrap_ci(values: pd.Series, order: pd.Series) -> list[float]:
     """[mean, low, high]: percentile bootstrap interval (200 resamples, 95 %, fixed
-    seed) of the values that aren't NULL, in order of value."""
-    v = np.sort(values.dropna().to_numpy(float))
+    seed) of the values that aren't NULL, drawn from in the given order."""
+    v = values.iloc[np.argsort(order.to_numpy(), kind="stable")].dropna().to_numpy(float)
     if not len(v):
         return [float("nan")] * 3
     rng = np.random.default_rng(0)
@@ -94,13 +95,43 @@ def sections(pairs: DataFrame, by: str = "corpus") -> DataFrame:
 
 def section_tests(pairs: DataFrame, by: str = "corpus") -> DataFrame:
     """(section, metric, ci_a, ci_b, p): intervals of both systems and the paired
-    test by key.  A section's values come to one task: as many as records."""
+    test by key (NULL where there is none).  Values are drawn from in the order of
+    corpus and record.  A section's values come to one task: as many as records;
+    :func:`poisson_intervals` has no such limit.
+    """
+    order = F.concat_ws("\x01", F.col(by).cast("string"), F.lpad(F.col("record_id").cast("string"), 40, " "))
     both = pairs.withColumn("section", F.explode(F.array(F.lit("overall"), F.col(by))))
-    out = both.groupBy("section", "metric").agg(bootstrap_ci("a").alias("a"), bootstrap_ci("b").alias("b"), paired_p("a", "b").alias("p"))
+    out = both.groupBy("section", "metric").agg(bootstrap_ci("a", order).alias("a"), bootstrap_ci("b", order).alias("b"), F.nanvl(paired_p("a", "b"), F.lit(None).cast("double")).alias("p"))
     interval = lambda c: F.struct(*(F.col(c)[i].alias(n) for i, n in enumerate(("mean", "low", "high")))).alias(f"ci_{c}")
     return out.select("section", "metric", interval("a"), interval("b"), "p")
 
 
+def poisson_intervals(pairs: DataFrame, by: str = "corpus", resamples: int = 200, level: float = 0.95) -> DataFrame:
+    """(section, metric, mean, low, high): intervals of system a for any number of
+    records.  Each record is in each resample as often as a Poisson variable of mean
+    1 says, drawn from its key; so resamples are summed where the records are, and
+    only their sums are shuffled."""
+    own = pairs.where("a is not null").select(F.col(by).cast("string").alias("c"), "metric", F.col("a").cast("double").alias("a"), F.xxhash64(by, "record_id").alias("h"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        sums: dict[tuple, np.ndarray] = {}
+        for b in batches:
+            for key, g in b.groupby(["c", "metric"], dropna=False):
+                total = sums.setdefault(key, np.zeros((resamples + 1, 2)))
+                for h, a in zip(g["h"].to_numpy(), g["a"].to_numpy(float)):
+                    n = np.random.default_rng(int(h) & (2**63 - 1)).poisson(1.0, resamples)
+                    total[:-1, 0] += n * a
+                    total[:-1, 1] += n
+                total[-1] += g["a"].sum(), len(g)
+        for (c, m), total in sums.items():
+            yield pd.DataFrame({"c": c, "metric": m, "i": np.arange(resamples + 1), "s": total[:, 0], "n": total[:, 1]})
+
+    parts = own.mapInPandas(run, "c string, metric string, i int, s double, n double")
+    both = parts.withColumn("section", F.explode(F.array(F.lit("overall"), "c"))).groupBy("section", "metric", "i").agg((F.sum("s") / F.nullif(F.sum("n"), F.lit(0.0))).alias("mean"))
+    resampled = F.when(F.col("i") < resamples, F.col("mean"))
+    return both.groupBy("section", "metric").agg(F.max(F.when(F.col("i") == resamples, F.col("mean"))).alias("mean"), F.percentile(resampled, (1 - level) / 2).alias("low"), F.percentile(resampled, (1 + level) / 2).alias("high"))
+
+
 def baseline(now: DataFrame, before: DataFrame, metric: str, keys: tuple[str, ...] = ("corpus", "record_id")) -> DataFrame:
     """(corpus, n, mean_now, mean_before, delta) over the records that both runs
     have a value for."""
@@ -200,15 +231,11 @@ def upper_median(x: str) -> Column:
 
 
 def sample(df: DataFrame, by: str, order: str, n: int, seed: int = 42) -> DataFrame:
-    """A sample of each group without replacement, by ordinals drawn on the driver:
-    the ids are counted and picked first, and only then are whole rows read."""
-    sizes = df.groupBy(by).count().collect()
-    rows = []
-    for r in sorted(sizes, key=lambda r: str(r[by])):
-        picked = np.random.default_rng(seed).choice(r["count"], min(n, r["count"]), replace=False)
-        rows += [(r[by], int(i) + 1) for i in picked]
-    if not rows:
-        return df.limit(0)
-    want = df.sparkSession.createDataFrame(rows, f"`{by}` {dict(df.dtypes)[by]}, _n int")
-    ranked = df.select(by, order, F.row_number().over(Window.partitionBy(by).orderBy(order)).alias("_n"))
-    return df.join(ranked.join(want, [by, "_n"], "left_semi").select(by, order), [by, order], "left_semi")
+    """A sample of each group without replacement: the ``n`` records that come first
+    by a hash of the seed, the group and their key, ties by the key.  The keys of a
+    group in a partition are cut to ``n`` before any is shuffled, and only then are
+    whole rows read."""
+    keyed = df.select(by, order).withColumn("_h", F.xxhash64(F.lit(seed), by, order))
+    rank = F.row_number().over(Window.partitionBy(by).orderBy("_h", order))
+    chosen = keyed.withColumn("_n", rank).where(F.col("_n") <= n).select(by, order)
+    return df.join(chosen.distinct(), [by, order], "left_semi")

@@ -95,8 +95,8 @@ def q_language_match(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {SCORED}, s AS (SELECT *, list_reverse_sort([en, pt, es]) AS o FROM scored)
 SELECT doc_id, en AS score_en, pt AS score_pt, es AS score_es, {DETECT} AS detected, (o[1] > 0 AND o[2] >= 3 AND o[2] / greatest(o[1], 1) >= 0.5) AS mixed FROM s""")
 def q_language_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    d, x = table(spark, sf_dir, "documents"), F.col("text")
-    return d.select("doc_id", *(n.alias(f"score_{k}") for k, n in T.language_hits(x).items()), T.detect_language(x).alias("detected"), T.is_mixed_language(x).alias("mixed"))
+    d, h = table(spark, sf_dir, "documents").select("doc_id", T.language_hits(F.col("text")).alias("h")), F.col("h")
+    return d.select("doc_id", *(h[k].alias(f"score_{k}") for k in T.STOP_WORDS), T.detected(h).alias("detected"), T.mixed(h).alias("mixed"))
 
 
 @query(f"SELECT doc_id, md5({s_ws('text')}) AS norm_md5, {s_words('text')} AS words FROM documents")
@@ -133,12 +133,6 @@ def q_abstract_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", F.round(T.score_abstract(F.col("text")), 9).alias("score"))
 
 
-@query("""SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS title, regexp_extract(html, '<h1>([^<]*)</h1>', 1) AS h1, regexp_extract(html, 'lang="([a-z]+)"', 1) AS lang FROM pages""")
-def q_html_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
-    h = F.col("html")
-    return table(spark, sf_dir, "pages").select("page_id", F.regexp_extract(h, "<title>([^<]*)</title>", 1).alias("title"), F.regexp_extract(h, "<h1>([^<]*)</h1>", 1).alias("h1"), F.regexp_extract(h, 'lang="([a-z]+)"', 1).alias("lang"))
-
-
 @query("SELECT event_id, regexp_replace(event_type || '/' || event_id, '[^A-Za-z0-9._-]+', '_', 'g') AS name, CASE WHEN len(event_type) <= 5 THEN event_type ELSE event_type[1:2] || '...' END AS short FROM events")
 def q_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = table(spark, sf_dir, "events")
@@ -166,30 +160,12 @@ def q_prune_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.prune(lines_of(spark, sf_dir)).select("record_id", "pos", "text")
 
 
-@query(f"""WITH {LINES} SELECT record_id, pos, row_number() OVER (PARTITION BY record_id ORDER BY pos) AS rank FROM L WHERE page <= 1 QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY pos) <= 15""")
-def q_front_matter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = L.front_matter(lines_of(spark, sf_dir), 15, 1)
-    return n.select("record_id", "pos", F.row_number().over(Window.partitionBy("record_id").orderBy("pos")).alias("rank"))
-
-
 @query(f"""WITH {LINES}, m AS (SELECT record_id, pos AS mark, row_number() OVER (PARTITION BY record_id ORDER BY pos) AS n FROM L WHERE regexp_matches(text, '(?i)license') QUALIFY n <= 4)
 SELECT record_id, {s_ws("string_agg(text, ' ' ORDER BY n, pos)")} AS text FROM L JOIN m USING (record_id) WHERE pos BETWEEN mark - 1 AND mark + 4 AND text <> '' GROUP BY record_id""")
 def q_marker_context(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.context(lines_of(spark, sf_dir), "(?i)license")
 
 
-@query(f"""WITH {LINES}, m AS (SELECT record_id, pos AS at, row_number() OVER (PARTITION BY record_id ORDER BY pos) AS block FROM L WHERE regexp_matches({s_strip('text')}, '(?i)^(?:the|les?|das|los) ') QUALIFY block <= 3),
-i AS (SELECT l.*, m.at, m.block, min(CASE WHEN l.pos > m.at AND regexp_matches(l.text, 'ing ') THEN l.pos END) OVER (PARTITION BY l.record_id, m.block) AS stop FROM L l JOIN m ON l.record_id = m.record_id AND l.pos BETWEEN m.at AND m.at + 7)
-SELECT record_id, block, {s_ws("string_agg(text, ' ' ORDER BY pos)")} AS text FROM i WHERE stop IS NULL OR pos < stop GROUP BY record_id, block""")
-def q_marker_window(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windows after lines that begin with an article, up to a line with a word in
-    -ing, for the documents that have one."""
-    n = lines_of(spark, sf_dir)
-    mark = r"(?i)^(?:the|les?|das|los) "
-    some = n.where(T.strip(F.col("text")).rlike(mark)).select("record_id").distinct()
-    return L.marker_windows(n.join(some, "record_id", "left_semi"), mark, "ing ", suffix=8, max_page=1 << 30, label=False)
-
-
 @query(f"""WITH {LINES}, c AS (SELECT record_id, page, count(*) AS n, count(*) FILTER (x < 200) AS l FROM L GROUP BY ALL)
 SELECT record_id, pos, row_number() OVER (PARTITION BY record_id ORDER BY page, CASE WHEN l >= 3 AND n - l >= 3 AND x > 206 THEN 1 ELSE 0 END, y, x, pos) AS rank FROM L JOIN c USING (record_id, page)""")
 def q_reading_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,12 +193,6 @@ def q_previous_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.previous_text(lines_of(spark, sf_dir)).select("record_id", "pos", "previous")
 
 
-@query(f"""WITH {LINES} SELECT record_id, string_agg(printf('%02d | y=%.1f x=%.1f | %s', pos + 1, y, x, text), chr(10) ORDER BY pos) AS text FROM L WHERE pos < 20 GROUP BY record_id""")
-def q_numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The header prompt: the first 20 lines (the operator's limit) of each document."""
-    return L.numbered(L.front_matter(lines_of(spark, sf_dir), 20))
-
-
 # candidates
 
 
@@ -239,35 +209,12 @@ def q_containment_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.without_contained(lines_of(spark, sf_dir), ["record_id"]).select("record_id", "pos")
 
 
-@query(f"""WITH s AS (SELECT doc_id, {s_key('text')} AS k FROM documents), c AS (SELECT item_id, {s_key('text')} AS k FROM benchmark)
-SELECT item_id, count(*) AS n_docs, min(doc_id) AS first_doc FROM c JOIN s ON contains(s.k, c.k) GROUP BY item_id""")
-def q_extractive_support(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The documents that hold a benchmark passage literally.  The passages are the
-    small side: a fixed set, broadcast as the planner finds it small."""
-    s = table(spark, sf_dir, "documents").select("doc_id", T.support_key(F.col("text")).alias("k"))
-    c = table(spark, sf_dir, "benchmark").select("item_id", T.support_key(F.col("text")).alias("c"))
-    return s.join(c, F.contains("k", "c")).groupBy("item_id").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))
-
-
 @query("""SELECT d.doc_id, d.lang, l.quality FROM documents d JOIN labels l USING (doc_id) WHERE l.toxic = 0""")
 def q_selection_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     d, l = table(spark, sf_dir, "documents").select("doc_id", "lang"), table(spark, sf_dir, "labels").where("toxic = 0").select("doc_id", "quality")  # noqa: E741
     return d.join(l, "doc_id")
 
 
-@query(f"""SELECT s.o_orderkey, s.pos, c.p_brand AS value FROM (SELECT l_orderkey AS o_orderkey, l_linenumber AS pos, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey QUALIFY row_number() OVER (PARTITION BY l_orderkey, lower(p_brand) ORDER BY l_linenumber) = 1) s
-JOIN (SELECT DISTINCT p_brand FROM part WHERE p_size <= 25) c ON lower(s.p_brand) = lower(c.p_brand)""")
-def q_select_from_candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_partkey", "l_linenumber")
-    p = table(spark, sf_dir, "part")
-    chosen = li.join(p.select("p_partkey", "p_brand"), li["l_partkey"] == p["p_partkey"]).select(F.col("l_orderkey").alias("o_orderkey"), F.col("l_linenumber").alias("pos"), F.upper("p_brand").alias("value"))
-    offered = p.where("p_size <= 25").select(F.col("p_brand").alias("value")).distinct()
-    every = chosen.select("o_orderkey").distinct()
-    own = C.keep_first(chosen, ["o_orderkey"], T.support_key(F.col("value"))).withColumn("_k", T.support_key(F.col("value")))
-    names = offered.select(F.col("value").alias("_v"), T.support_key(F.col("value")).alias("_k"))
-    return own.join(names, "_k").join(every, "o_orderkey", "left_semi").select("o_orderkey", "pos", F.col("_v").alias("value"))
-
-
 @query("""SELECT d.doc_id FROM documents d WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""")
 def q_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ..sources.sinks import pending
@@ -275,15 +222,6 @@ def q_resume(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pending(table(spark, sf_dir, "documents").select("doc_id"), table(spark, sf_dir, "labels"), ["doc_id"])
 
 
-@query(f"""WITH {LINES}, f AS (SELECT record_id, {s_ws('text')} AS text, 0 AS pos FROM L WHERE pos = 0), s AS (SELECT record_id, {s_ws('text')} AS text, 1 AS pos FROM L WHERE pos = 1), u AS (SELECT *, {s_words('text')} AS score FROM (SELECT * FROM f UNION ALL SELECT * FROM s))
-SELECT record_id, pos, text, score FROM u WHERE text <> '' QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY score DESC, pos) = 1""")
-def q_candidate_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = lines_of(spark, sf_dir)
-    u = n.where("pos = 0").select("record_id", T.norm_ws(F.col("text")).alias("text"), F.lit(0).alias("pos")).unionByName(n.where("pos = 1").select("record_id", T.norm_ws(F.col("text")).alias("text"), F.lit(1).alias("pos")))
-    u = C.keep_first(u, ["record_id"], T.support_key(F.col("text"))).withColumn("score", T.word_count(F.col("text")))
-    return C.argmax(u, ["record_id"], "score").select("record_id", "pos", "text", "score")
-
-
 @query(f"""WITH {LINES} SELECT record_id, pos FROM (SELECT record_id, pos, sum(length(text) + 1) OVER (PARTITION BY record_id ORDER BY pos) AS s FROM L) WHERE s <= 1200""")
 def q_budget_prefix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.within_budget(lines_of(spark, sf_dir), ["record_id"], F.length("text") + 1, 1200).select("record_id", "pos")
@@ -323,13 +261,6 @@ def _pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 PAIRS = "p AS (SELECT a.doc_id, a.lang, a.text AS gold, b.text AS pred FROM documents a JOIN documents b ON a.doc_id = b.doc_id + 1)"
 
 
-@query(f"""WITH {PAIRS}, n AS (SELECT doc_id, lang, {s_norm('gold')}[1:80] AS g, {s_norm('pred')}[1:80] AS p FROM p)
-SELECT doc_id, CASE WHEN g <> '' AND g = p THEN 1 ELSE 0 END AS title_match, round(CASE WHEN greatest(length(g), length(p)) = 0 THEN 1 ELSE 1 - levenshtein(g, p) / greatest(length(g), length(p)) END, 9) AS title_edit_sim FROM n""")
-def q_title_edit_sim(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = _pairs(spark, sf_dir).select("doc_id", F.substring(T.normalize_text(F.col("gold")), 1, 80).alias("g"), F.substring(T.normalize_text(F.col("pred")), 1, 80).alias("p"))
-    return n.select("doc_id", ((F.col("g") != "") & (F.col("g") == F.col("p"))).cast("int").alias("title_match"), F.round(T.edit_sim(F.col("p"), F.col("g")), 9).alias("title_edit_sim"))
-
-
 def s_f1(m: str, g: str, p: str) -> str:
     return f"""CASE WHEN {g} > 0 THEN round(CASE WHEN {p} > 0 THEN {m} / {p} ELSE 0 END, 9) END AS precision, CASE WHEN {g} > 0 THEN round({m} / {g}, 9) END AS recall, CASE WHEN {g} > 0 THEN round(CASE WHEN {m} > 0 THEN 2 * ({m} / {p}) * ({m} / {g}) / ({m} / {p} + {m} / {g}) ELSE 0 END, 9) END AS f1"""
 
@@ -362,39 +293,12 @@ def q_author_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select("c_custkey", "c_nationkey", M.author_match(F.col("c_name"), F.coalesce("names", F.array().cast("array<string>"))).alias("hit"))
 
 
-@query()
-def q_greedy_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The first ten lines of a document as headings, against the same without each
-    line's last word; the greedy matching has no SQL."""
-    n = lines_of(spark, sf_dir).where("pos < 10")
-    cut = F.regexp_replace("text", r"\s*\S+$", "")
-    g = n.groupBy("record_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", "text", cut.alias("cut")))), lambda s: s).alias("s"))
-    head = lambda f: F.transform("s", lambda s: F.substring(s[f], 1, 60))
-    return g.select("record_id", M.section_pr(head("text"), head("cut")).alias("m")).select("record_id", *_named(F.col("m")))
-
-
 @query(f"""SELECT l.doc_id, CASE WHEN {s_norm("d.source")} = '' THEN NULL WHEN {s_norm("d.source")} = {s_norm("'SRC' || (d.doc_id % 20)")} THEN 1 ELSE 0 END AS publisher_match FROM documents d JOIN labels l USING (doc_id)""")
 def q_scalar_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents").select("doc_id", "source").join(table(spark, sf_dir, "labels").select("doc_id"), "doc_id")
     return d.select("doc_id", T.scalar_match(F.col("source"), F.concat(F.lit("SRC"), F.col("doc_id") % 20)).alias("publisher_match"))
 
 
-@query(f"""WITH {PAIRS}, n AS (SELECT doc_id, {s_norm('gold')}[1:60] AS g, {s_norm('pred')}[1:60] AS p FROM p)
-SELECT doc_id, (1 - levenshtein(g, p) / greatest(length(g), length(p), 1) >= 0.75 OR (g <> '' AND p <> '' AND least(length(g), length(p)) >= 12 AND (starts_with(g, p) OR starts_with(p, g)) AND least(length(g), length(p)) / greatest(length(g), length(p)) >= 0.4)) AS caption_match FROM n""")
-def q_caption_match(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = lambda c: F.substring(T.normalize_text(F.col(c)), 1, 60)
-    return _pairs(spark, sf_dir).select("doc_id", T.caption_match(cut("gold"), cut("pred")).alias("caption_match"))
-
-
-@query(f"""WITH {PAIRS}, n AS (SELECT doc_id, {s_norm("gold[1:40]")} AS g, {s_norm("pred[1:40]")} AS p, list_distinct(list_filter([{s_norm("gold[1:9]")}, {s_norm("gold[10:19]")}], lambda w: w <> '')) AS kg, list_distinct(list_filter([{s_norm("pred[1:9]")}, {s_norm("gold[10:19]")}], lambda w: w <> '')) AS kp FROM p)
-SELECT doc_id, CASE WHEN g <> '' AND g = p THEN 1 ELSE 0 END AS title_match, round(CASE WHEN greatest(length(g), length(p)) = 0 THEN 1 ELSE 1 - levenshtein(g, p) / greatest(length(g), length(p)) END, 9) AS title_edit_sim, CASE WHEN len(kg) > 0 THEN round(len(list_intersect(kg, kp)) / len(kg), 9) END AS keywords_recall FROM n""")
-def q_evaluate_record(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The wide metric row of predictions against gold, of which three columns."""
-    side = lambda c: F.struct(F.substring(c, 1, 40).alias("title"), F.array(F.substring(c, 1, 9), F.substring("gold", 10, 10)).alias("keywords"))
-    made = M.evaluate(_pairs(spark, sf_dir).select("doc_id", side("gold").alias("g"), side("pred").alias("p")), "p", "g")
-    return made.select("doc_id", "title_match", F.round("title_edit_sim", 9).alias("title_edit_sim"), F.round("keywords_recall", 9).alias("keywords_recall"))
-
-
 # aggregation
 
 
@@ -444,14 +348,6 @@ def q_improvements(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.cases(_systems(spark, sf_dir), "improvements", "de").select("corpus", "record_id", "a", "b")
 
 
-@query("""SELECT grouping(user_id) * 4 + grouping(event_type) * 2 + 1 AS level, user_id, event_type AS stage, count(*) AS n_calls, round(sum(value), 4) AS total FROM events GROUP BY GROUPING SETS ((), (user_id), (user_id, event_type))""")
-def q_tokens_by_stage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = table(spark, sf_dir, "events").select("user_id", F.col("event_type").alias("stage"), "value")
-    u, s = F.col("user_id"), F.col("stage")
-    out = e.groupingSets([[], [u], [u, s]], "user_id", "stage").agg(F.grouping_id().alias("g"), F.count("*").alias("n_calls"), F.round(F.sum("value"), 4).alias("total"))
-    return out.select((F.col("g") * 2 + 1).alias("level"), "user_id", "stage", "n_calls", "total")
-
-
 @query("""SELECT role, CASE WHEN role = 'user' THEN 'header' ELSE 'other' END AS "group", count(*) AS n_calls, sum(len(regexp_extract_all(text, '[^\\s]+'))) AS prompt_tokens FROM conversations GROUP BY ALL""")
 def q_tokens_by_group(spark: SparkSession, sf_dir: str) -> DataFrame:
     c = table(spark, sf_dir, "conversations").select("role", F.when(F.col("role") == "user", "HEADER_METADATA").otherwise("X").alias("stage"), T.space_words(F.col("text")).alias("prompt_tokens"))
@@ -499,11 +395,6 @@ def q_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.sample(table(spark, sf_dir, "documents"), "lang", "doc_id", 25).select("doc_id", "lang")
 
 
-@query("""SELECT event_id, json_extract_string(props, '$.k') AS k, length(props) AS size FROM events""")
-def q_json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").select("event_id", F.get_json_object("props", "$.k").alias("k"), F.length("props").alias("size"))
-
-
 @query()
 def q_hash_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The stable back end of each request, by a digest that SQL lacks."""
@@ -512,8 +403,93 @@ def q_hash_route(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", route(F.col("text"), F.lit("HEADER_METADATA"), F.lit(8)).alias("backend"))
 
 
+# whole fields, all lines, the operators' own limits
+
+
+def _titles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(page_id, t, h): a page's title and first heading."""
+    h = F.col("html")
+    return table(spark, sf_dir, "pages").select("page_id", F.regexp_extract(h, "<title>([^<]*)</title>", 1).alias("t"), F.regexp_extract(h, "<h1>([^<]*)</h1>", 1).alias("h"))
+
+
+TITLES = "T AS (SELECT page_id, regexp_extract(html, '<title>([^<]*)</title>', 1) AS t, regexp_extract(html, '<h1>([^<]*)</h1>', 1) AS h FROM pages)"
+_SIM = "CASE WHEN g = p THEN 1 ELSE 1 - levenshtein(g, p) / greatest(length(g), length(p)) END"
+
+
+@query(f"""WITH {TITLES}, n AS (SELECT a.page_id, {s_norm('a.h')} AS g, {s_norm('b.t')} AS p FROM T a JOIN T b ON b.page_id BETWEEN a.page_id AND a.page_id + 1)
+SELECT page_id, sum(CASE WHEN g <> '' AND g = p THEN 1 ELSE 0 END) AS title_match, round(max({_SIM}), 9) AS title_edit_sim FROM n GROUP BY page_id""")
+def q_title_edit_sim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first heading of a page, against its title and that of the next page."""
+    a = _titles(spark, sf_dir)
+    b = a.select(F.explode(F.array("page_id", F.col("page_id") - 1)).alias("page_id"), F.col("t").alias("p"))
+    n = a.select("page_id", T.normalize_text(F.col("h")).alias("g")).join(b.select("page_id", T.normalize_text(F.col("p")).alias("p")), "page_id")
+    g = n.groupBy("page_id", "g").agg(F.collect_list("p").alias("p"))
+    return g.select("page_id", F.size(F.filter("p", lambda p: (p != "") & (p == F.col("g")))).alias("title_match"), F.round(T.max_edit_sim(F.col("g"), F.col("p")), 9).alias("title_edit_sim"))
+
+
+@query(f"""WITH {TITLES}, n AS (SELECT a.page_id, {s_norm("a.t || ' ' || a.h")} AS g, {s_norm("a.t || CASE WHEN a.page_id % 3 = 0 THEN ' ' || b.h ELSE '' END")} AS p FROM T a LEFT JOIN T b ON a.page_id = b.page_id + 1)
+SELECT page_id, ({_SIM} >= 0.75 OR (g <> '' AND p <> '' AND least(length(g), length(p)) >= 12 AND (starts_with(g, p) OR starts_with(p, g)) AND least(length(g), length(p)) / greatest(length(g), length(p)) >= 0.4)) AS caption_match FROM n WHERE p IS NOT NULL""")
+def q_caption_match(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Titles with headings as captions, against titles cut off or gone wrong."""
+    a = _titles(spark, sf_dir)
+    j = a.join(a.select((F.col("page_id") + 1).alias("page_id"), F.col("h").alias("o")), "page_id", "left")
+    other = F.concat("t", F.when(F.col("page_id") % 3 == 0, F.concat(F.lit(" "), "o")).otherwise(""))
+    return j.where(other.isNotNull()).select("page_id", T.caption_match(F.concat_ws(" ", "t", "h"), other).alias("caption_match"))
+
+
 @query()
 def q_word_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """What differs between the first lines of neighbouring documents."""
-    first = lambda c: F.substring_index(c, "\n", 1)
-    return _pairs(spark, sf_dir).select("doc_id", S.word_diff_udf(first("gold"), first("pred")).alias("diff"))
+    """What differs between a page's title and heading, and the next page's."""
+    a = _titles(spark, sf_dir).select("page_id", F.concat_ws(" ", "t", "h").alias("x"))
+    j = a.join(a.select((F.col("page_id") - 1).alias("page_id"), F.col("x").alias("y")), "page_id")
+    return j.select("page_id", S.word_diff_udf("x", "y").alias("diff"))
+
+
+@query()
+def q_greedy_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All lines of a document as headings, against the same without each line's last
+    word; the greedy matching has no SQL and is tested against brute force."""
+    cut = F.regexp_replace("text", r"\s*\S+$", "")
+    g = lines_of(spark, sf_dir).groupBy("record_id").agg(F.array_sort(F.collect_list(F.struct("pos", "text", cut.alias("cut")))).alias("s"))
+    return g.select("record_id", M.section_pr(F.col("s.text"), F.col("s.cut")).alias("m")).select("record_id", *_named(F.col("m")))
+
+
+@query(f"""WITH {LINES}, u AS (SELECT record_id, pos, {s_ws('text')} AS text, {s_words(s_ws('text'))} AS score FROM L)
+SELECT record_id, pos, text, score FROM u WHERE text <> '' QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY score DESC, pos) = 1""")
+def q_candidate_argmax(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The line of a document with the most words."""
+    u = C.keep_first(lines_of(spark, sf_dir), ["record_id"], T.support_key(F.col("text")))
+    u = u.select("record_id", "pos", T.norm_ws(F.col("text")).alias("text")).withColumn("score", T.word_count(F.col("text")))
+    return C.argmax(u, ["record_id"], "score").select("record_id", "pos", "text", "score")
+
+
+@query(f"""WITH {LINES}, s AS (SELECT *, page <= 5 AND regexp_matches({s_strip('text')}[1:80], '(?i)^(?:the|les?|das|los) ') AS strict, page <= 5 AND regexp_matches(text, '(?i)^\\s*(?:[\\dIVXivx]+(?:\\.\\d+)*[.)]?\\s+)?(?:abstract|resumen|resumo)\\b') AS loose FROM L),
+a AS (SELECT *, max(strict) OVER (PARTITION BY record_id) AS any_s FROM s), m AS (SELECT record_id, pos AS at, row_number() OVER (PARTITION BY record_id ORDER BY pos) AS block FROM a WHERE strict OR (loose AND NOT any_s) QUALIFY block <= 3),
+i AS (SELECT l.*, m.at, m.block, min(CASE WHEN l.pos > m.at AND regexp_matches(l.text, 'ing ') THEN l.pos END) OVER (PARTITION BY l.record_id, m.block) AS stop FROM L l JOIN m ON l.record_id = m.record_id AND l.pos BETWEEN m.at AND m.at + 79)
+SELECT record_id, block, {s_ws("string_agg(text, ' ' ORDER BY pos)")} AS text FROM i WHERE stop IS NULL OR pos < stop GROUP BY record_id, block
+UNION ALL SELECT record_id, 1, {s_ws("string_agg(text, ' ' ORDER BY pos)")} FROM L WHERE pos < 120 AND record_id NOT IN (SELECT record_id FROM m) GROUP BY record_id""")
+def q_marker_window(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows after lines that begin with an article, up to a line with a word in
+    -ing; documents without one give their first lines."""
+    return L.marker_windows(lines_of(spark, sf_dir), r"(?i)^(?:the|les?|das|los) ", "ing ", label=False)
+
+
+@query(f"""WITH {LINES} SELECT record_id, pos, row_number() OVER (PARTITION BY record_id ORDER BY pos) AS rank FROM L WHERE page <= 5 QUALIFY row_number() OVER (PARTITION BY record_id ORDER BY pos) <= 200""")
+def q_front_matter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    n = L.front_matter(lines_of(spark, sf_dir))
+    return n.select("record_id", "pos", F.row_number().over(Window.partitionBy("record_id").orderBy("pos")).alias("rank"))
+
+
+@query(f"""WITH {LINES} SELECT record_id, string_agg(printf('%02d | y=%.1f x=%.1f | %s', pos + 1, y, x, text), chr(10) ORDER BY pos) AS text FROM L WHERE page <= 5 AND pos < 200 GROUP BY record_id""")
+def q_numbered_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The header prompt of each document."""
+    return L.numbered(L.front_matter(lines_of(spark, sf_dir)))
+
+
+@query(f"""WITH s AS (SELECT doc_id, {s_key('text')} AS k FROM documents), c AS (SELECT item_id, {s_key('text')} AS k FROM benchmark)
+SELECT item_id, count(*) AS n_docs, min(doc_id) AS first_doc FROM c JOIN s ON contains(s.k, c.k) GROUP BY item_id""")
+def q_extractive_support(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents that hold a benchmark passage literally."""
+    d = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held = C.holding(d, table(spark, sf_dir, "benchmark").select("item_id", F.col("text").alias("passage")), "doc_id", "item_id")
+    return held.groupBy("item_id").agg(F.count("*").alias("n_docs"), F.min("doc_id").alias("first_doc"))

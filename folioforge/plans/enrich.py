@@ -21,8 +21,10 @@ from pyspark.sql import functions as F
 from ..functions import text as T
 from ..functions.udf import pandas_udf
 from ..operators import assembly as A
+from ..operators import layout as L
 from ..operators.assembly import rx, words, ws
 
+#: A model: (step, messages, most tokens) to the answer's text.
 Chat = Callable[..., str]
 
 
@@ -57,6 +59,10 @@ PROMPTS = {
     "CONTENT_TABLE_CAPTIONS": "Choose the table captions among the numbered candidates. Answer with JSON: tables.",
     "CONTENT_REFERENCES": "List the references. Answer with JSON: references, each with title and doi.",
 }
+PROMPTS |= {
+    "OCR_CLEANUP": "Write this text of a page anew without the faults of its recognition, and without anything that isn't in it.",
+    "KEYWORD_TRANSLATE": "Translate these keywords. Answer with JSON: translations, an object with a list for each target language.",
+}
 PROMPTS["TEI_VALIDATED"] = PROMPTS["TEI_METADATA"]
 
 
@@ -256,6 +262,33 @@ def grounded(parsed: str, numbers: list, lines: list[A.Line]) -> str:
     return ws(re.sub(r"(?<=\w)-\s+(?=\w)", "", text)) if text else parsed
 
 
+def grounded_list(parsed: list, groups: list, lines: list[A.Line]) -> list[str]:
+    """Each item of a list field from the lines that hold it, or as the model has it."""
+    if not groups:
+        return [str(p) for p in parsed if str(p).strip()]
+    own = [str(parsed[i]) if i < len(parsed) else "" for i in range(len(groups))]
+    out = [grounded(p, g, lines) if isinstance(g, list) else p for p, g in zip(own, groups)]
+    return [t for t in out if t.strip()]
+
+
+def clean_ocr_text(lines: list[A.Line], chat: Chat) -> str:
+    """The begin of a document as the model would write it."""
+    text = "\n".join(n.text for n in lines[:200] if n.text)[:8000]
+    return ws(chat("OCR_CLEANUP", [{"role": "system", "content": PROMPTS["OCR_CLEANUP"]}, {"role": "user", "content": text}], 800))
+
+
+def translate_keywords(keywords: list[str], languages: list[str], chat: Chat) -> list[str]:
+    """Keywords and their translations, each once; those of the record alone where
+    no language is asked for."""
+    own = [k for v in keywords if (k := str(v).strip())]
+    if not own or not languages:
+        return own
+    asked = json.dumps({"keywords": own, "target_languages": languages})
+    got = answer(chat("KEYWORD_TRANSLATE", [{"role": "system", "content": PROMPTS["KEYWORD_TRANSLATE"]}, {"role": "user", "content": asked}], 400)).get("translations")
+    more = [str(v).strip() for k in languages for v in ((got or {}).get(k) or [] if isinstance(got, dict) else [])]
+    return list(dict.fromkeys([*own, *(v for v in more if v)]))
+
+
 class Enricher:
     """A document's plan over a scripted or real ``chat(step, messages, max_tokens)``."""
 
@@ -279,7 +312,8 @@ class Enricher:
 
     def front(self, most: int, last_page: int = 5, pruned: bool = True, drop: bool = False) -> list[A.Line]:
         own = [n for n in self.lines if n.page <= last_page] or self.lines
-        return (([n for n in own if not is_furniture(n, own, drop)] if pruned else []) or own)[:most]
+        often = again(own) if pruned else frozenset()
+        return (([n for n in own if not is_furniture(n, often, drop)] if pruned else []) or own)[:most]
 
     def keyword_text(self) -> str:
         own = self.front(220, drop=True)
@@ -456,7 +490,8 @@ class Enricher:
     def content(self) -> dict[str, list[str]]:
         """Section heads, captions and references: candidates, of which the model
         picks, as far as the candidates support the picks."""
-        kept = [n for n in self.lines if not is_furniture(n, self.lines, False)]
+        often = again(self.lines)
+        kept = [n for n in self.lines if not is_furniture(n, often, False)]
         doc = A.Document([n.row for n in kept])
         out: dict[str, list[str]] = {k: [] for k in ("body_sections", "figure_captions", "table_captions", "reference_titles", "reference_dois")}
         if not any(n.text for n in kept):
@@ -510,21 +545,33 @@ class Enricher:
 _AVAILABILITY = A._any(r"supporting\s+information", r"supplementary\s+material", r"(?:extended|underlying)\s+data", r"availability\s+of\s+data", r"(?:code|data|materials?|resource|software|key\s+resources?)\s+availability")
 
 
-def is_furniture(n: A.Line, lines: list[A.Line], drop: bool) -> bool:
-    """As :func:`operators.layout.prune`, for one line."""
-    from ..operators import layout as L
+def again(lines: list[A.Line]) -> frozenset[str]:
+    """The texts that stand on three pages or more."""
+    pages: dict[str, set[int]] = {}
+    for n in lines:
+        pages.setdefault(n.text.casefold(), set()).add(n.page)
+    return frozenset(t for t, p in pages.items() if len(p) >= 3)
+
+
+_NOTHING = [re.compile(p) for p in (r"[\W_]+", r"[\divxIVX]+", r"(?i)doi\s*:?")]
+_MARGIN = re.compile(r"[\dA-Za-z.:-]{1,6}")
+_FURNITURE, _IDENTIFIER, _ANCHOR = rx(L.FURNITURE), rx(L.IDENTIFIER), rx(T.SECTION_ANCHOR)
+
 
+def is_furniture(n: A.Line, often: frozenset[str], drop: bool) -> bool:
+    """As :func:`operators.layout.prune`, for one line; ``often``: what :func:`again`
+    gives for its document."""
     t = n.text
-    if not t or any(re.fullmatch(p, t) for p in (r"[\W_]+", r"[\divxIVX]+", r"(?i)doi\s*:?")) or rx(L.FURNITURE).search(t):
+    if not t or any(p.fullmatch(t) for p in _NOTHING) or _FURNITURE.search(t):
         return True
     xs, ys = max(float(n.row.get("page_w") or 0), 0) / 612.0, n.y_scale
     xs = xs if xs * 612 >= 100 else 1.0
-    if drop and len(t) < 180 and rx(L.IDENTIFIER).search(t):
+    if drop and len(t) < 180 and _IDENTIFIER.search(t):
         return True
     near_edge = n.y < 65 * ys or n.y > 720 * ys or len(t) < 90
-    if near_edge and not rx(T.SECTION_ANCHOR).match(t) and len({o.page for o in lines if o.text.casefold() == t.casefold()}) >= 3:
+    if near_edge and t.casefold() in often and not _ANCHOR.match(t):
         return True
-    return n.x < 60 * xs and bool(re.fullmatch(r"[\dA-Za-z.:-]{1,6}", t)) or n.y < 32 * ys and len(t) < 180 or n.y > 760 * ys and len(t) < 100
+    return n.x < 60 * xs and bool(_MARGIN.fullmatch(t)) or n.y < 32 * ys and len(t) < 180 or n.y > 760 * ys and len(t) < 100
 
 
 RECORD = ", ".join([*(f"{k} string" for k in SCALARS), *(f"{k} array<string>" for k in LISTS)])
@@ -554,7 +601,8 @@ def predict(contexts: DataFrame, make_chat: Callable[[], Chat], content: bool =
                     raise
                 except Exception as x:
                     rows.append({"record_id": row["record_id"], "error": f"{type(x).__name__}: {x}"})
-            yield pd.DataFrame(rows, columns=["record_id", *names, "error"])
+            every = ["record_id", *names, "error"]
+            yield pd.DataFrame([[r.get(k) for k in every] for r in rows], columns=every, dtype=object)
 
     return contexts.mapInPandas(run, f"record_id {kind}, {RECORD}, {CONTENT}, error string")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MANIFEST = "record_id string, pdf_path string, xml_path string"
@@ -38,3 +38,21 @@ def binary_files(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """(record_id, content): files by their name without the suffix."""
     df = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path)
     return df.select(F.regexp_replace(F.substring_index("path", "/", -1), r"\.[^.]*$", "").alias("record_id"), "content")
+
+
+def sampled_manifest(pdfs: DataFrame, golds: DataFrame, n: int, seed: int = 42) -> DataFrame:
+    """(record_id, pdf_path, xml_path): ``n`` of the documents (record_id, path) that
+    have a gold record (record_id, path), chosen by a hash of their id."""
+    both = pdfs.select("record_id", F.col("path").alias("pdf_path")).join(golds.select("record_id", F.col("path").alias("xml_path")), "record_id")
+    return both.orderBy(F.xxhash64("record_id", F.lit(seed)), "record_id").limit(n)
+
+
+def parser_label(record: Column, hint: Column, usual: str = "grobid") -> Column:
+    """The parser of a result: as its record says, or else as its name hints."""
+    return F.coalesce(F.nullif(record, F.lit("")), F.nullif(hint, F.lit("")), F.lit(usual))
+
+
+def parser_of_artifact(name: Column, known: tuple[str, ...] = ("grobid", "sciencebeam")) -> Column:
+    """The last part of a name if it is a parser's."""
+    last = F.element_at(F.split(name, "-"), -1)
+    return F.when(last.isin(*known), last)

@@ -3,6 +3,7 @@
 import pytest
 from oracle import differences
 
+from folioforge.plans import catalogue_documents  # noqa: F401  # it adds its queries
 from folioforge.plans.catalogue import QUERIES, SQL
 
 
