@@ -64,8 +64,14 @@ def greedy_matches(gold: Column, pred: Column, match: Callable[[Column, Column],
     prediction that matches and isn't taken."""
 
     def step(left: Column, g: Column) -> Column:
-        at = F.array_position(F.transform(left, lambda p: match(g, p)), F.lit(True)).cast("int")
-        return F.when(at > 0, F.concat(F.slice(left, F.lit(1), at - 1), F.slice(left, at + 1, F.greatest(F.size(left) - at, F.lit(0))))).otherwise(left)
+        def look(a: Column, p: Column) -> Column:  # what is behind the first match isn't compared
+            i = a["i"] + 1
+            return F.when(a["at"] > 0, a).otherwise(F.struct(i.alias("i"), F.when(match(g, p), i).otherwise(0).alias("at")))
+
+        def without(at: Column) -> Column:
+            return F.when(at > 0, F.concat(F.slice(left, F.lit(1), at - 1), F.slice(left, at + 1, F.greatest(F.size(left) - at, F.lit(0))))).otherwise(left)
+
+        return T.let(F.aggregate(left, F.struct(F.lit(0).alias("i"), F.lit(0).alias("at")), look)["at"], without)
 
     return F.size(pred) - F.size(F.aggregate(gold, pred, step))
 

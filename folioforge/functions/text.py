@@ -301,7 +301,9 @@ def edit_sim(a: Column, b: Column) -> Column:
 
     def of(x: Column) -> Column:
         longer = F.greatest(F.length(x["a"]), F.length(x["b"]))
-        return F.when(x["a"] == x["b"], F.lit(1.0)).otherwise(1 - F.levenshtein(x["a"], x["b"]) / longer)
+        whole = x["a"].startswith(x["b"]) | x["b"].startswith(x["a"]) | x["a"].endswith(x["b"]) | x["b"].endswith(x["a"])
+        far = F.when(whole, F.abs(F.length(x["a"]) - F.length(x["b"]))).otherwise(F.levenshtein(x["a"], x["b"]))
+        return F.when(x["a"] == x["b"], F.lit(1.0)).otherwise(1 - far / longer)
 
     return let(F.struct(text_of(a).alias("a"), text_of(b).alias("b")), of)
 
