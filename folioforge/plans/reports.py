@@ -42,9 +42,11 @@ def p_value(x: float | None) -> str:
 
 def bold_best(cells: list[str], means: list[float | None]) -> list[str]:
     """The first cell of the highest mean in bold."""
-    some = [m for m in means if m is not None and not math.isnan(m)]
-    at = means.index(max(some)) if some else -1
-    return [f"**{c}**" if i == at else c for i, c in enumerate(cells)]
+    out, some = list(cells), [m for m in means if m is not None and not math.isnan(m)]
+    if some:
+        best = means.index(max(some))
+        out[best] = f"**{out[best]}**"
+    return out
 
 
 def table(head: list[str], rows: Iterable[list[str]]) -> list[str]:
