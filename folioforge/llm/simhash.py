@@ -3,10 +3,14 @@
 1. A 128-bit SimHash of each document's distinct words, made in one pass.
 2. Equal signatures are one node, whatever the number of copies.
 3. The codes are put into shards by the value of each of their eight 16-bit
-   blocks; each shard holds a BK-tree of its codes, whose children are keyed by
-   the integer Hamming distance to their parent.
-4. A code asks the shards whose block value is within one bit of its own, in five
-   of the blocks also those at two bits, and follows only edges within the radius.
+   blocks (of fewer bits where codes are few).  A shard of more than ``LEAF`` codes
+   is a BK-tree, whose children are keyed by the integer Hamming distance to their
+   parent.
+4. The codes of a shard ask, together, the shards whose block value is within one
+   bit of their own, in five of the blocks also those at two bits.  In a tree they
+   follow only edges within the radius; shards without one, and parts of trees of
+   no more than ``LEAF`` codes, are compared as arrays, as at a radius of 20 in 128
+   bits a tree of so few rules out next to nothing.
 5. The pairs found are united; the least document of each group stays.
 
 Step 4 finds every pair within the radius of 20: either some block has one
@@ -39,6 +43,10 @@ BLOCKS = 8
 NODE_BYTES = 390
 #: Codes that come together in a task, about, at most.
 HELD = 2_000_000
+#: Codes in a shard, about, at least.
+FEW = 16
+#: Codes of a shard or of a part of a tree that are compared all at once.
+LEAF = 4096
 _ONE = np.array([0] + [1 << i for i in range(16)], np.uint16)
 _TWO = np.array([1 << i | 1 << j for i in range(16) for j in range(i)], np.uint16)
 
@@ -92,93 +100,155 @@ def signatures(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 class BKForest:
-    """One BK-tree for each (block, value) that occurs, in flat arrays.
+    """One BK-tree for each number in ``tree``, in flat arrays.
 
     ``kids`` of a node are a run of the node order; a node's ``edge`` is its
-    distance to its parent.  All trees of a level are built and searched together.
+    distance to its parent.  A node is followed by all below it, ``size`` codes in
+    all with its own.  All trees of a level are built together.
     """
 
     def __init__(self, codes: np.ndarray, tree: np.ndarray):
         """``tree`` gives each code's tree, a small number; codes may be in many
         trees."""
         order = np.argsort(tree, kind="stable")
-        self.codes, self.source = codes[order], order
-        tree = tree[order]
-        n = len(order)
-        self.keys, self.roots = np.unique(tree, return_index=True)
-        self.at = np.full(int(self.keys[-1]) + 1 if n else 1, -1, np.int32)
-        self.at[self.keys] = np.arange(len(self.keys))
-        self.edge, parent = np.zeros(n, np.uint8), np.full(n, -1, np.int64)
-        at = np.repeat(self.roots, np.diff(np.r_[self.roots, n]))  # where each code has come to
-        todo = np.setdiff1d(np.arange(n), self.roots, assume_unique=True)
+        codes, tree, n = codes[order], tree[order], len(order)
+        self.keys, roots = np.unique(tree, return_index=True)
+        edge, parent = np.zeros(n, np.uint8), np.full(n, -1, np.int64)
+        at = np.repeat(roots, np.diff(np.r_[roots, n]))  # where each code has come to
+        todo, levels = np.setdiff1d(np.arange(n), roots, assume_unique=True), []
         while len(todo):
-            d = hamming(self.codes[todo], self.codes[at[todo]])
+            d = hamming(codes[todo], codes[at[todo]])
             # the first to come by an edge becomes the child, the rest go below it
             key = at[todo] * 256 + d
             _, first, which = np.unique(key, return_index=True, return_inverse=True)
-            child = todo[first]
-            parent[child], self.edge[child] = at[child], d[first]
+            child = todo[first]  # by parent and edge
+            parent[child], edge[child] = at[child], d[first]
             at[todo] = child[which]
+            levels.append(child)
             todo = todo[np.setdiff1d(np.arange(len(todo)), first, assume_unique=True)]
+        size = np.ones(n, np.int64)
+        for child in reversed(levels):
+            np.add.at(size, parent[child], size[child])
+        place = np.zeros(n, np.int64)
+        place[roots] = np.cumsum(size[roots]) - size[roots]
+        for child in levels:
+            before = np.cumsum(size[child]) - size[child]
+            first = np.flatnonzero(np.r_[True, np.diff(parent[child]) != 0])
+            place[child] = place[parent[child]] + 1 + before - np.repeat(before[first], np.diff(np.r_[first, len(child)]))
+        new = np.argsort(place)
+        self.codes, self.source, self.edge, self.size = codes[new], order[new], edge[new], size[new]
+        self.roots = place[roots]
+        parent = np.where(parent[new] >= 0, place[parent[new]], -1)
         has = np.flatnonzero(parent >= 0)
         self.kids = has[np.lexsort((self.edge[has], parent[has]))]
         self.begin = np.searchsorted(parent[self.kids], np.arange(n + 1))
 
-    def nbytes(self) -> int:
-        return sum(x.nbytes for x in (self.codes, self.source, self.keys, self.at, self.roots, self.edge, self.kids, self.begin))
-
-    def search(self, query: np.ndarray, tree: np.ndarray, radius: int, of: np.ndarray | None = None, most: int = 1 << 20) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def search(self, query: np.ndarray, tree: np.ndarray, radius: int, leaf: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(row, source code) pairs within the radius; row i searches the tree
-        ``tree[i]`` for the code ``query[of[i]]`` (``query[i]`` by default)."""
-        of = np.arange(len(query)) if of is None else of
-        at = self.at[np.minimum(tree, len(self.at) - 1)]
-        ok = (at >= 0) & (tree < len(self.at))
-        stack = [(np.flatnonzero(ok), self.roots[at[ok]])]
+        ``tree[i]`` for the code ``query[i]``.  The queries of a tree go down
+        together, and only by edges within the radius; of ``leaf`` codes or fewer
+        all are compared at once."""
+        key, row = np.unique(tree, return_inverse=True)
+        at = np.minimum(np.searchsorted(self.keys, key), max(len(self.keys) - 1, 0))
+        stack = [(np.flatnonzero(row == i), self.roots[at[i]]) for i in range(len(key)) if len(self.keys) and self.keys[at[i]] == key[i]]
         while stack:
             q, node = stack.pop()
-            if len(q) > most:
-                stack += [(q[i : i + most], node[i : i + most]) for i in range(0, len(q), most)]
+            if self.size[node] <= leaf:
+                for i, s in close(query[q], self.codes[node : node + self.size[node]], radius):
+                    yield q[i], self.source[node + s]
                 continue
-            d = hamming(query[of[q]], self.codes[node])
+            d = hamming(query[q], self.codes[node])
             hit = d <= radius
             if hit.any():
-                yield q[hit], self.source[node[hit]]
-            lo, n = self.begin[node], self.begin[node + 1] - self.begin[node]
-            who = np.repeat(np.arange(len(q)), n)
-            if len(who):
-                kid = self.kids[np.arange(len(who)) + np.repeat(lo - (np.cumsum(n) - n), n)]
-                near = np.abs(self.edge[kid].astype(np.int64) - d[who]) <= radius
-                stack.append((q[who[near]], kid[near]))
+                yield q[hit], np.full(int(hit.sum()), self.source[node])
+            for kid in self.kids[self.begin[node] : self.begin[node + 1]]:
+                near = np.abs(int(self.edge[kid]) - d) <= radius
+                if near.any():
+                    stack.append((q[near], kid))
 
 
 def hamming(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return np.bitwise_count(a ^ b).sum(axis=-1, dtype=np.int64)
 
 
+def close(a: np.ndarray, b: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(row of ``a``, row of ``b``) pairs within the radius, of all pairs."""
+    if not len(a) or not len(b):
+        return
+    a0, a1, b0, b1 = (np.ascontiguousarray(x[:, k]) for x in (a, b) for k in (0, 1))
+    most = 1 << 17  # what is compared at once stays in the cache
+    for at in range(0, len(b), most):
+        c0, c1 = b0[at : at + most], b1[at : at + most]
+        for lo in range(0, len(a), step := max(1, most // len(c0))):
+            d = np.bitwise_count(a0[lo : lo + step, None] ^ c0)
+            d += np.bitwise_count(a1[lo : lo + step, None] ^ c1)
+            hit = np.flatnonzero(d <= radius)
+            if len(hit):
+                i, j = np.divmod(hit, len(c0))
+                yield lo + i, at + j
+
+
 def _blocks(codes: np.ndarray) -> np.ndarray:
     return np.ascontiguousarray(codes).view(np.uint16).reshape(len(codes), BLOCKS)
 
 
-def shard_forest(codes: np.ndarray) -> BKForest:
-    """The trees of all shards: a code is in one tree for each block."""
-    tree = _blocks(codes).astype(np.int64) + np.arange(BLOCKS) * 65536
-    f = BKForest(np.repeat(codes, BLOCKS, axis=0), tree.ravel())
-    f.source = f.source // BLOCKS
-    return f
+class Shards:
+    """Codes by the value of a block, of which as many bits count as leave
+    ``FEW`` codes to a shard, about.  Shards of more than ``leaf`` are BK-trees."""
+
+    def __init__(self, codes: np.ndarray, value: np.ndarray, free: int = 0xFFFF, leaf: int | None = None):
+        """``free``: the bits in which the values may differ."""
+        bits = [1 << i for i in range(16) if free >> i & 1]
+        self.keep = sum(bits[max(0, len(bits) - (len(codes) // FEW).bit_length()) :])
+        shard = (value & self.keep).astype(np.int64)
+        self.order = np.argsort(shard, kind="stable")
+        self.codes = codes[self.order]
+        n = np.bincount(shard, minlength=1 << 16)
+        self.begin = np.r_[0, np.cumsum(n)]
+        self.leaf = LEAF if leaf is None else leaf
+        self.large = n > self.leaf
+        self.trees = None
+        if self.large.any():
+            at = np.flatnonzero(self.large[shard[self.order]])
+            self.trees, self.in_trees = BKForest(self.codes[at], shard[self.order][at]), at
+
+    def pairs(self, query: np.ndarray, value: np.ndarray, masks: np.ndarray, radius: int, own: bool = False) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """(query, code) pairs within the radius whose blocks differ by one of
+        ``masks``, and others.  ``own``: the queries are the codes, and one of each
+        two pairs is enough."""
+        masks = np.unique(masks.astype(np.int64) & self.keep)
+        shard = (value & self.keep).astype(np.int64)
+        order = np.argsort(shard, kind="stable")
+        keys, first = np.unique(shard[order], return_index=True)
+        for x, lo, hi in zip(keys.tolist(), first.tolist(), np.r_[first[1:], len(order)].tolist()):
+            q = order[lo:hi]
+            near = x ^ masks
+            if own:
+                near = near[near >= x]
+            n = self.begin[near + 1] - self.begin[near]
+            for y in near[self.large[near]].tolist():
+                for i, s in self.trees.search(query[q], np.full(len(q), y), radius, self.leaf):
+                    yield q[i], self.order[self.in_trees[s]]
+            near, n = (z[(n > 0) & ~self.large[near]] for z in (near, n))
+            if not len(near):
+                continue
+            at = np.arange(n.sum()) + np.repeat(self.begin[near] - (np.cumsum(n) - n), n)
+            for i, s in close(query[q], self.codes[at], radius):
+                yield q[i], self.order[at[s]]
+
+
+def shard_forest(codes: np.ndarray, leaf: int | None = None) -> list[Shards]:
+    """The shards of each block: a code is in one for each."""
+    values = _blocks(codes)
+    return [Shards(codes, values[:, block], leaf=leaf) for block in range(BLOCKS)]
 
 
-def forest_pairs(f: BKForest, codes: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(query, source) pairs of all queries against the shard trees they may
-    have a partner in."""
+def forest_pairs(f: list[Shards], codes: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(query, source) pairs of all queries against the shards they may have a
+    partner in."""
     values = _blocks(codes)
-    for block in range(BLOCKS):
-        masks = _masks(block, radius)
-        for lo in range(0, len(codes), step := 1 << 12):
-            own = codes[lo : lo + step]
-            tree = (values[lo : lo + step, block][:, None] ^ masks).astype(np.int64) + block * 65536
-            q = np.repeat(np.arange(len(own)), len(masks))
-            for i, s in f.search(own, tree.ravel(), radius, q):
-                yield lo + q[i], s
+    for block, shards in enumerate(f):
+        yield from shards.pairs(codes, values[:, block], _masks(block, radius), radius)
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -233,15 +303,15 @@ def _routed(radius: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.Rec
             read = [_codes_of(b) for b in held]
             ids, codes = np.concatenate([p[0] for p in read]), np.concatenate([p[1] for p in read])
             block, same = where_of[int(place) % 65536 // 256]
-            value = _blocks(codes)[:, block].astype(np.int64)
-            f = BKForest(codes, value)
+            value = _blocks(codes)[:, block]
             near = _masks(block, radius)
-            near = near[(near & same) == 0].astype(np.int64)
-            for lo in range(0, len(codes), step := 1 << 12):
-                own = codes[lo : lo + step]
-                q = np.repeat(np.arange(len(own)), len(near))
-                for i, s in f.search(own, (value[lo : lo + step, None] ^ near).ravel(), radius, q):
-                    yield ids[lo + q[i]], ids[s]
+            near = near[(near & same) == 0]
+            for part in _parts(block, radius):  # what an earlier part leaves as it is meets there
+                if part == same:
+                    break
+                near = near[(near & part) != 0]
+            for i, s in Shards(codes, value, 0xFFFF & ~same).pairs(codes, value, near, radius, True):
+                yield ids[i], ids[s]
 
         yield from _edges(found())
 

@@ -1,6 +1,7 @@
 """SimHash near-duplicates: brute force over all pairs, recall, odd tables."""
 
 import random
+import time
 
 import numpy as np
 import pyarrow as pa
@@ -71,6 +72,32 @@ def test_differences_spread_over_all_blocks():
     assert found(codes, 20) == brute(codes, 20)
 
 
+def test_trees_of_large_shards_find_the_same():
+    """Many codes of one value in some blocks, so that shards are trees; parts of them
+    are compared at once."""
+    codes = planted_codes(900, 900)
+    codes[:, 0] &= np.uint64(0xFFFF0000FFFF0003)
+    codes = np.unique(codes, axis=0)
+    want = brute(codes, 20)
+    for leaf in (0, 5, 60, 10**6):
+        got = set()
+        for q, s in simhash.forest_pairs(simhash.shard_forest(codes, leaf), codes, 20):
+            got |= {(min(a, b), max(a, b)) for a, b in zip(q.tolist(), s.tolist()) if a != b}
+        assert got == want
+
+
+def test_pairs_of_many_codes_take_seconds():
+    """A place of 60,000 codes: its 60 million pairs took 15 s and more down the trees."""
+    codes = RNG.integers(0, 1 << 63, (59_000, 2), dtype=np.uint64)
+    codes = np.concatenate([codes, codes[:1000] ^ np.uint64(0x0001000300050100)])
+    codes[:, 0] &= np.uint64(0xFFFFFFFFFFFFFFE0)
+    place = pa.RecordBatch.from_arrays([pa.array(np.zeros(len(codes), np.int64)), pa.array(np.arange(len(codes)))] + [pa.array(codes[:, k].view(np.int64)) for k in (0, 1)], ["place", "node", "a", "b"])
+    began = time.process_time()
+    got = {tuple(sorted(p)) for b in simhash._routed(20)(iter([place])) for p in zip(b.column(0).to_pylist(), b.column(1).to_pylist())}
+    assert time.process_time() - began < 6
+    assert got == {(i, 59_000 + i) for i in range(1000)}
+
+
 def test_broadcast_and_routed_searches_agree(spark):
     codes = planted_codes(600, 300)
     table = [(i, *map(int, c.view(np.int64))) for i, c in enumerate(codes)]
