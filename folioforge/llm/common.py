@@ -44,12 +44,12 @@ def shared_dir(spark: SparkSession) -> str:
     return _own_dir[0]
 
 
-def written(spark: SparkSession, df: DataFrame, tag: str) -> DataFrame:
+def written(spark: SparkSession, df: DataFrame, tag: str, options: dict[str, str] | None = None) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again: it cuts the
     lineage, survives the loss of executors and is computed once however often
-    it is used."""
+    it is used.  ``options`` are those of the writer."""
     path = f"{shared_dir(spark)}/folioforge/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options or {}).parquet(path)
     _written.append(path)
     return spark.read.schema(df.schema).parquet(path)
 

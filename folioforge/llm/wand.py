@@ -51,6 +51,9 @@ LANES = 32_768
 PLACES = 6
 
 _ARRAYS = {"ids": "<i8", "lengths": "<i4", "terms": "<u8", "begins": "<i4", "docs": "<i4", "tfs": "<i4", "block_begins": "<i4", "blocks": "<i4", "block_posts": "<i4", "block_tf": "<i4", "block_length": "<i4"}
+#: A shard is a row group by itself: Parquet's readers take the rows of a group
+#: together, which here would be all shards of a file.
+_ALONE = {"parquet.block.row.count.limit": "1", "parquet.page.row.count.limit": "1"}
 _SHARD = "n_docs long, n_words long, " + ", ".join(f"{k} binary" for k in _ARRAYS)
 
 
@@ -297,9 +300,14 @@ def _ask(spark: SparkSession, shards: DataFrame, asked: DataFrame, k: int) -> Da
     return shards.transform(batched).mapInArrow(run, "query_id long, doc_id long, score double")
 
 
+def stored(spark: SparkSession, docs: DataFrame, text: str = "text") -> DataFrame:
+    """:func:`build`, written to the shared folder."""
+    return written(spark, build(docs, text), "index", _ALONE)
+
+
 def top_k(spark: SparkSession, docs: DataFrame, queries: DataFrame, k: int = K, id_col: str = "item_id", text: str = "text") -> DataFrame:
     """Build the index in the shared folder and search it."""
-    return search(spark, written(spark, build(docs, text), "index"), queries, k, id_col, text)
+    return search(spark, stored(spark, docs, text), queries, k, id_col, text)
 
 
 SQL = r"""

@@ -3,13 +3,15 @@
 import math
 import random
 from collections import Counter
+from glob import glob
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from odd import documents
 
-from folioforge.llm import textscan, wand
+from folioforge.llm import common, textscan, wand
 
 
 def terms(text):
@@ -57,6 +59,17 @@ def test_agrees_with_scoring_everything(spark, monkeypatch, parts, k):
     assert sum(got[x][0] == want[x][0] for x in want) >= 0.999 * len(want)  # the last place of a score may round the other way
 
 
+def test_shards_are_read_one_by_one(spark, monkeypatch):
+    """A reader takes the rows of a row group together, so each has one shard."""
+    many = wand._build
+    monkeypatch.setattr(wand, "_build", lambda batches: (b for one in batches for i in range(0, len(one), 50) for b in many(iter([one.slice(i, 50)]))))
+    before = set(common._written)
+    shards = wand.stored(spark, spark.createDataFrame(corpus()[0], "doc_id long, text string").coalesce(1))
+    path = next(p for p in common._written if p not in before)
+    groups = [f.metadata.row_group(i).num_rows for f in map(pq.ParquetFile, glob(f"{path.removeprefix('file://')}/*.parquet")) for i in range(f.metadata.num_row_groups)]
+    assert shards.count() == len(groups) >= 30 and set(groups) == {1}
+
+
 def test_blocks_are_skipped():
     r = np.random.default_rng(1)
     docs = [(i, " ".join(f"c{x}" for x in r.integers(0, 40, 30)) + (" rare rare rare" if i % 997 == 5 else "")) for i in range(6000)]
