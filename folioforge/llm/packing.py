@@ -6,19 +6,18 @@
    than ``HELD``, they come together again by sets of two equal components, then
    of three, and so on.  A document keeps the ``NEIGHBOURS`` with the most equal
    components, of the lower node in a tie, as in a comparison of all pairs.
-3. Paths: in each connected component of the graph, start at the document of
-   least degree, go on to the nearest one that is left (of the lower degree in a
-   tie), and start again when there is none.
+3. Paths: the edges of the whole graph are taken one by one, the nearest first,
+   unless an edge would close a ring, give a document a third, or make a path of more
+   than ``LONGEST`` times ``REGION`` documents; in distributed rounds that give the
+   same.  Each path is walked from its end of the lower node.
 4. Windows of ``WINDOW`` words are filled along each path; a document that doesn't
    fit goes on in the next window, so only the last window of a region has room.
 
-Components, and documents without neighbours, share regions: they are put one after
-the other until a region has ``REGION`` documents.  A component of more than that
-isn't walked but made into paths by taking the nearest edges first, in distributed
-rounds over all of its edges; its paths, of ``LONGEST`` times ``REGION`` documents
-at most, share the regions.  Documents of one sketch, where there are very many, are
-divided by their digests.  So a region is bounded, however large a component or a
-group of copies is.
+Paths, of which documents without neighbours are the shortest, share regions: they
+are put one after the other until a region has ``REGION`` documents.  Documents of one
+sketch are divided by their digests into as many parts as they have times ``REGION``.
+So a region is bounded, however large a component or a group of copies is, and
+documents follow each other by the same rule in small and large ones.
 """
 
 from __future__ import annotations
@@ -48,7 +47,7 @@ LEAST = 3
 #: Documents in a region, about; the last component or path that it takes may add
 #: its own.
 REGION = 65_536
-#: How many times that a path of a large component may have.
+#: How many times that a path may have.
 LONGEST = 8
 
 _ODD = np.random.default_rng(20240607).integers(1, 1 << 63, SKETCH, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -415,23 +414,16 @@ def pack(spark: SparkSession, docs: DataFrame, window: int = WINDOW, region: int
     distinct = made.where("n_words > 0").distinct().withColumn("node", F.xxhash64("sketch"))
     nodes = distinct.groupBy("node").agg(F.first("sketch").alias("sketch"))
     graph = written(spark, neighbour_graph(spark, nodes), "graph")
-    roots = components(spark, graph.select("u", "v"))
     member = distinct.select("doc_id", "key", "n_words", "node")
     many = written(spark, member.groupBy("node").agg(F.count("*").alias("docs")).where(F.col("docs") > region), "many")
-    if not many.isEmpty():  # of the documents of one sketch a part stays at its node; the others are parts by themselves
-        part = F.pmod(F.xxhash64("doc_id", "key"), F.ceil(F.col("docs") * 2 / region))
+    if not many.isEmpty():  # all others have one part; the first stays at its node
+        part = F.pmod(F.xxhash64("doc_id", "key"), F.ceil(F.col("docs") / region))
         member = attach(member, many, ["node"], "left", 32).withColumn("part", F.coalesce(part, F.lit(0)))
         member = member.withColumn("node", F.when(F.col("part") > 0, F.xxhash64("node", "part")).otherwise(F.col("node"))).drop("docs", "part")
+    weights = written(spark, member.groupBy("node").agg(F.count("*").alias("docs")), "weights")
+    graph = written(spark, greedy_paths(spark, graph, NEIGHBOURS * REGION, weights, LONGEST * region), "paths")
+    roots = components(spark, graph.select("u", "v"))
     member = written(spark, member.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "members")
-    large = written(spark, member.groupBy("root").count().where(F.col("count") > region).select("root"), "large")
-    if not large.isEmpty():
-        weights = written(spark, member.join(large, "root", "left_semi").groupBy("node").agg(F.count("*").alias("docs")), "cut")
-        cut = weights.select("node")
-        chosen = greedy_paths(spark, graph.join(cut.withColumnRenamed("node", "u"), "u", "left_semi"), NEIGHBOURS * region, weights, LONGEST * region)
-        chosen = written(spark, chosen, "paths")
-        again = cut.join(components(spark, chosen.select("u", "v")).withColumnRenamed("root", "on_path"), "node", "left").select("node", F.coalesce("on_path", "node").alias("on_path"))
-        member = member.join(again, "node", "left").withColumn("root", F.coalesce("on_path", "root")).drop("on_path")
-        graph = graph.join(cut.withColumnRenamed("node", "u"), "u", "left_anti").select("u", "v", "same").union(chosen.select("u", "v", "same"))
     packed = member.join(regions(member, region), "root").select("region", "doc_id", "key", "n_words", "node")
     inside = graph.join(packed.select(F.col("node").alias("u"), F.col("region").alias("part")).distinct(), "u").select(F.col("part").alias("region"), "u", "v", "same")
 

@@ -211,6 +211,21 @@ def test_a_large_component_keeps_its_neighbours_on_one_path(spark):
     assert share[40] >= share[packing.REGION] - 0.02 and share[packing.REGION] > 0.5, share
 
 
+def test_documents_follow_each_other_alike_in_small_and_large_components(spark):
+    """Which are next to each other doesn't depend on whether a region holds the
+    component."""
+    r = random.Random(9)
+    docs = [(i, " ".join(f"w{k}" for k in range(i * 40, i * 40 + 400 + r.randrange(90)))) for i in range(300)]
+    after = {}
+    for region in (40, packing.REGION):
+        out = packing.pack(spark, spark.createDataFrame(docs, "doc_id long, text string"), region=region).collect()
+        path = defaultdict(set)
+        for x in out:
+            path[x["window_id"].rsplit("-", 1)[0], x["path"]].add((x["place"], x["doc_id"]))
+        after[region] = {frozenset((a, b)) for p in path.values() for (_, a), (_, b) in zip(sorted(p), sorted(p)[1:])}
+    assert after[40] == after[packing.REGION] and len(after[40]) > 150
+
+
 def test_paths_are_those_of_edges_taken_one_by_one(spark):
     r = random.Random(3)
     edges = {(min(a, b), max(a, b)): r.randrange(3, 17) for a, b in ((r.randrange(150), r.randrange(150)) for _ in range(500)) if a != b}
