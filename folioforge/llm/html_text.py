@@ -16,7 +16,8 @@ Rules of layout, which keep a page's text in proportion to the page:
 
 * A table that holds a table is a frame for layout: its cells follow each other as
   blocks.  All other tables are aligned.
-* A table whose padding would outweigh its text ``PADDING`` times isn't padded.
+* Before a cell stand at most ``PADDING`` columns of padding, and a cell of more
+  than that doesn't widen its column: what comes after it in its row moves right.
 * Indentation stops growing at ``INDENT`` columns.
 
 Time is in proportion to the size of the page, whatever it holds.
@@ -69,7 +70,7 @@ _LONG_NUMBER = re.compile(r"&#(?:[xX]0*([0-9a-fA-F]++)|0*([0-9]++));?")
 _DECLARED = re.compile(r"(?:^|;)\s*+(display|visibility)\s*+:\s*+([a-z-]++)\s*+(!\s*+important)?", re.I)
 _SELECTOR = re.compile(r"([a-zA-Z][\w-]*+)?+([.#](?:[\w-]|[^\x00-\x7f])++)?+$")
 
-PADDING = 4
+PADDING = 160
 INDENT = 160
 _NOTHING: dict = {}
 
@@ -498,35 +499,30 @@ class _Page:
                 gaps.take(*x)
             laid.append(own)
         width: dict[int, int] = {}
-        held = 0
         for own in laid:
             for c, spans, lines in own:
                 most = max(map(_width, lines), default=0)
-                width[c] = max(width.get(c, 0), 0 if spans else most)
-                held += sum(map(len, lines)) + 3
+                width[c] = max(width.get(c, 0), 0 if spans else min(most, PADDING))
         starts, at = {}, 0
         for c in sorted(width):
             starts[c] = at
             at += width[c] + 3
-        tall = sum(max((len(lines) for _, _, lines in own), default=0) for own in laid)
-        padded = at * tall <= PADDING * held + 4096
         out = captions
         for own in laid:
             live, i = own, 0
             while live:
                 line, room, many = [], 0, 0
                 for c, _, lines in live:
-                    parted = many or padded and c
-                    if padded:
-                        gap = max(0, starts[c] - room - (3 if parted else 0))
-                        line.append(" " * gap)
-                        room += gap
+                    parted = many or c
+                    gap = min(max(0, starts[c] - room - (3 if parted else 0)), PADDING)
+                    line.append(" " * gap)
+                    room += gap
                     if parted:
                         line.append(" | ")
                         room += 3
                     x = lines[i] if i < len(lines) else ""
                     line.append(x)
-                    room += _width(x) if padded else 0
+                    room += _width(x)
                     many += 1
                 if i or any(lines for _, _, lines in live):
                     out.append("".join(line).rstrip())

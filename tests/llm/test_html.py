@@ -263,3 +263,17 @@ def test_names_that_clash_again(spark):
     assert out.columns == ["page_id", "input_input_text", "input_text", "INPUT_title", "title", "text"]
     assert tuple(out.first()) == (1, "t", "x", "y", "", "a")
     assert html_text.extract(df, html="text").columns == ["page_id", "html", "input_text", "INPUT_title", "title", "text"]
+
+
+def test_rows_are_aligned_alike_in_small_and_large_tables():
+    """A row's text doesn't depend on how many rows come before it."""
+    top = "<tr><td>" + "wide " * 28 + "<td>x<tr><td colspan=2>both<td>y"
+    lines = [html_text.render(f"<table>{top}{'<tr><td>a<td>b<td>c' * n}</table>").split("\n") for n in (2, 20, 2000)]
+    assert [len(x) for x in lines] == [4, 22, 2002]
+    assert len({(x[0], x[1], x[-1]) for x in lines}) == 1
+    assert lines[2][-1] == "a" + " " * 138 + " | b | c" and lines[2][0].index("|") == lines[2][-1].index("|")
+
+
+def test_a_cell_wider_than_the_padding_moves_its_row_only():
+    out = html_text.render(f"<table><tr><td>{'w' * 1000}<td>x<tr><td>a<td>b<tr><td>cc<td>d</table>").split("\n")
+    assert out[0] == "w" * 1000 + " | x" and out[1].index("|") == out[2].index("|") == 161
