@@ -15,14 +15,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions.udf import BATCH_BYTES, batched  # noqa: F401  # for the operators
+
 #: A side is broadcast only when its counted size is below this.
 BROADCAST_BYTES = 32 << 20
 
-#: Bytes in an Arrow batch that goes to a Python worker, where the session leaves
-#: Spark's default.  It bounds the memory of a task outside the heap, however long
-#: the texts are.
-BATCH_BYTES = 4 << 20
-
 _own_dir: list[str] = []
 _written: list[str] = []
 
@@ -73,15 +70,6 @@ def settled(spark: SparkSession, make: Callable[[], DataFrame], tag: str) -> tup
     return out, _written[-1]
 
 
-def batched(df: DataFrame) -> DataFrame:
-    """``df``, in whose session Arrow batches are bounded by ``BATCH_BYTES`` unless
-    the session sets a bound of its own."""
-    name, default = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
-    if df.sparkSession.conf.get(name, default) == default:
-        df.sparkSession.conf.set(name, str(BATCH_BYTES))
-    return df
-
-
 def row_key(text: str = "text") -> F.Column:
     """A digest that tells rows of equal ``doc_id`` but other text apart."""
     return F.xxhash64(F.coalesce(F.col(text), F.lit("")))

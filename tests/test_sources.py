@@ -76,3 +76,19 @@ def test_json_lines(spark, tmp_path):
     p = tmp_path / "x.jsonl"
     p.write_text('{"a": 1}\n\n{"a": 2, "b": "z"}\n')
     assert sorted(tuple(r) for r in tables.json_lines(spark, str(p), "a long, b string").collect()) == [(1, None), (2, "z")]
+
+
+def test_alto_with_the_columns_that_are_wanted(spark):
+    df = spark.createDataFrame([(1, ALTO), (2, ALTO)], "record_id long, xml string")
+    every, some = xml.read_alto(df), xml.read_alto(df, columns=["pos", "text", "bold"])
+    assert some.columns == ["pos", "text", "bold", "record_id"] and "strings" in every.columns
+    assert sorted(some.collect()) == sorted(every.select(some.columns).collect())
+    assert [s["content"] for s in every.where("record_id = 2 and pos = 1").first()["strings"]] == ["left", "1", "more"]
+
+
+def test_layout_xml_is_made_after_the_only_shuffle(spark, sf_dir):
+    from folioforge.plans.catalogue_documents import _alto
+
+    plan = _alto(spark, sf_dir)._jdf.queryExecution().sparkPlan().toString()
+    made = _alto(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert "CONTENT=" in plan and made.count("Exchange hashpartitioning") == 1
