@@ -318,20 +318,62 @@ def merge_content(ours: Column, theirs: Column) -> Column:
     return F.when(F.size(F.coalesce(ours, F.array().cast("array<string>"))) > 0, ours).otherwise(theirs)
 
 
+def similar_sets(a: DataFrame, b: DataFrame, least: float) -> DataFrame:
+    """(q, c, score): the sets (q) of ``a`` and (c) of ``b``, distinct arrays, of a
+    Jaccard similarity of at least so much.
+
+    Two such sets share one of the rarest words of each: of the words beyond those,
+    both have too few.  So only these are joined, and of what is found lengths and
+    places drop most before it is compared.
+    """
+    often = b.select(F.explode("c").alias("t")).groupBy("t").agg(F.count("*").alias("n"))
+    at_least = lambda n: F.ceil(n * least - 1e-9)
+
+    def rarest(side: DataFrame, name: str) -> DataFrame:
+        own = side.select(name, F.explode(name).alias("t")).join(often, "t", "left").select(name, F.struct(F.coalesce("n", F.lit(0)).alias("n"), "t").alias("s"))
+        kept = F.slice(F.array_sort(F.collect_list("s")), F.lit(1), (F.size(name) - at_least(F.size(name)) + 1).cast("int"))
+        return own.groupBy(name).agg(kept.alias("k")).select(name, F.posexplode("k").alias(f"{name}_at", "k")).select(name, F.size(name).alias(f"{name}_n"), f"{name}_at", "k.t")
+
+    both, q, c = rarest(a, "q").join(rarest(b, "c"), "t"), F.col("q_n"), F.col("c_n")
+    fits = (c >= at_least(q)) & (q >= at_least(c)) & (1 + F.least(q - F.col("q_at") - 1, c - F.col("c_at") - 1) >= F.ceil((q + c) * (least / (1 + least)) - 1e-9))
+    near, shared = both.where(fits).select("q", "c").distinct(), F.size(F.array_intersect("q", "c"))
+    return near.withColumn("score", T.let(shared, lambda m: m / (F.size("q") + F.size("c") - m))).where(F.col("score") >= least)
+
+
 def lookup(queries: DataFrame, catalogue: DataFrame, least: float = 0.5, rows: int = 5, query: str = "title", entry: str = "title") -> DataFrame:
     """Each query's best catalogue entry by Jaccard similarity of title words (of
-    at least ``least``), of years that differ by one at most where both are known.
+    at least ``least``), of years that differ by one at most where both are known;
+    only ``rows`` best are ranked by year.
 
-    Candidates share a word with the query: any pair of a positive similarity
-    does, so none is missed; only ``rows`` best are ranked by year.
+    Equal sets of words are found first, then those that are half as far off as
+    ``least`` allows, then the rest; a query that one step settles doesn't go to the
+    next.  None is missed: what a step leaves out ranks behind all that it finds.
     ``queries``: (query_id, title, year); ``catalogue``: (entry_id, title, year).
     """
-    q = queries.select("query_id", F.col("year").alias("q_year"), T.token_set(F.col(query)).alias("q"))
-    c = catalogue.select("entry_id", F.col("year").alias("c_year"), T.token_set(F.col(entry)).alias("c"))
-    shared = q.withColumn("t", F.explode("q")).select("query_id", "t").join(c.withColumn("t", F.explode("c")).select("entry_id", "t"), "t").groupBy("query_id", "entry_id").agg(F.count("*").alias("both"))
-    sized = shared.join(q.select("query_id", "q_year", F.size("q").alias("nq")), "query_id").join(c.select("entry_id", "c_year", F.size("c").alias("nc")), "entry_id")
-    scored = sized.withColumn("score", F.col("both") / (F.col("nq") + F.col("nc") - F.col("both")))
-    top = scored.withColumn("rn", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "entry_id"))).where(F.col("rn") <= rows)
+    sets = lambda x: F.array_sort(T.token_set(F.col(x)))
+    asked = queries.select("query_id", F.col("year").alias("q_year"), sets(query).alias("q")).where(F.size("q") > 0)
+    c = catalogue.select("entry_id", F.col("year").alias("c_year"), sets(entry).alias("c")).where(F.size("c") > 0)
+    c = c.withColumn("_n", F.row_number().over(Window.partitionBy("c").orderBy("entry_id"))).where(F.col("_n") <= rows).drop("_n")  # further ones of equal words rank behind
     fits = F.col("q_year").isNull() | F.col("c_year").isNull() | (F.abs(F.col("q_year") - F.col("c_year")) <= 1)
-    ok = top.where(fits & (F.col("score") >= least))
-    return ok.groupBy("query_id").agg(F.max_by(F.struct("entry_id", "score"), F.struct("score", -F.col("rn"))).alias("b")).select("query_id", "b.entry_id", "b.score")
+
+    def same(x: DataFrame, y: DataFrame) -> Column:
+        return (x["q"] == y["q"]) & x["q_year"].eqNullSafe(y["q_year"])
+
+    left, found = asked.select("q", "q_year").distinct(), []
+    between = (1 + least) / 2 if 0.3 <= least < 1 else least  # of a low one the rest is asked at once
+    for t in sorted({max(1.0, least), between, least}, reverse=True):
+        if found and left.isEmpty():
+            break
+        if t >= 1:
+            ranked = left.join(c, F.col("q") == F.col("c")).withColumn("score", F.lit(1.0)).where(F.col("score") >= t)
+        else:
+            ranked = left.join(similar_sets(left.select("q").distinct(), c.select("c").distinct(), t), "q").join(c, "c")
+        top = ranked.withColumn("rn", F.row_number().over(Window.partitionBy("q", "q_year").orderBy(F.desc("score"), "entry_id"))).where(F.col("rn") <= rows)
+        best = top.groupBy("q", "q_year").agg(F.count("*").alias("n"), F.min_by(F.struct("entry_id", "score"), F.when(fits, F.col("rn"))).alias("b"))
+        found.append(best.where("b is not null").select("q", "q_year", "b.entry_id", "b.score"))
+        settled = best.where(F.col("b").isNotNull() | (F.col("n") >= rows)).select("q", "q_year").alias("s")
+        left = left.join(settled, same(left, settled), "left_anti")
+    every = found[0]
+    for f in found[1:]:
+        every = every.unionByName(f)
+    return asked.join(every, same(asked, every)).select("query_id", "entry_id", "score")

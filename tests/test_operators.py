@@ -130,3 +130,28 @@ def test_catalogue_lookup(spark):
     q = spark.createDataFrame([(1, "The deep blue rivers of the north", 2001), (2, "nothing at all", 2000)], "query_id long, title string, year int")
     c = spark.createDataFrame([(10, "Deep blue rivers of the north", 2002), (11, "Deep blue rivers of the north", 2010), (12, "Shallow lakes", 2001)], "entry_id long, title string, year int")
     assert [(r["query_id"], r["entry_id"]) for r in C.lookup(q, c).collect()] == [(1, 10)]
+
+
+def test_lookup_by_steps_is_the_ranking_of_all_pairs(spark):
+    import random
+
+    rnd = random.Random(5)
+    title = lambda: " ".join(rnd.choices("the of and more river water stone north fish deep old new".split(), weights=[9, 9, 9, 9, 3, 3, 3, 3, 1, 1, 1, 1], k=rnd.randint(1, 7)))
+    year = lambda: rnd.choice([None, 2000, 2001, 2003, 2010])
+    q, c = [(i, title(), year()) for i in range(60)] + [(60, "", None), (61, None, 2000)], [(i, title(), year()) for i in range(150)] + [(150, " ", None)]
+    qs, cs = (spark.createDataFrame(v, f"{k} long, title string, year int") for v, k in ((q, "query_id"), (c, "entry_id")))
+    score = lambda x, y: len(x & y) / len(x | y) if x | y else 0.0
+    words = lambda t: set((t or "").split())
+    for least in (0.05, 0.5, 0.8, 1.0):
+        want = {}
+        for i, t, y in q:
+            ranked = sorted((-score(words(t), words(u)), j, z) for j, u, z in c if score(words(t), words(u)) > 0)[:5]
+            fit = [(j, -s) for s, j, z in ranked if -s >= least and (y is None or z is None or abs(y - z) <= 1)]
+            if fit:
+                want[i] = fit[0]
+        assert {r["query_id"]: (r["entry_id"], r["score"]) for r in C.lookup(qs, cs, least).collect()} == want
+    sets = lambda v, k: spark.createDataFrame([(sorted(w),) for w in {frozenset(words(t)) for _, t, _ in v} if w], f"{k} array<string>")
+    a, b = sets(q, "q"), sets(c, "c")
+    for least in (0.3, 0.5, 0.75):
+        want = {(tuple(x[0]), tuple(y[0])) for x in a.collect() for y in b.collect() if score(set(x[0]), set(y[0])) >= least}
+        assert {(tuple(r["q"]), tuple(r["c"])) for r in C.similar_sets(a, b, least).collect()} == want and want
