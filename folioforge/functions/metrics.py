@@ -108,6 +108,15 @@ def author_match(gold: Column, predicted: Column) -> Column:
     return T.let(last, lambda w: F.coalesce(F.exists(predicted, lambda p: F.array_contains(T.author_tokens(p), w)), F.lit(False)))
 
 
+def author_matches(gold: DataFrame, predicted: DataFrame, by: list[str], name: str = "name") -> DataFrame:
+    """``gold`` (by, name, …) with ``hit``: :func:`author_match` of its name and the
+    names of ``predicted`` (by, name) in its group.  Words are joined, so neither the
+    group's names are gathered nor read once for each gold name."""
+    words = predicted.select(*by, F.explode(T.author_tokens(F.col(name))).alias("_word")).distinct().withColumn("hit", F.lit(True))
+    last = gold.withColumn("_word", F.try_element_at(T.author_tokens(F.col(name)), F.lit(-1)))
+    return last.join(words, [*by, "_word"], "left").select(*gold.columns, F.coalesce("hit", F.lit(False)).alias("hit"))
+
+
 def authors_pr(gold: Column, pred: Column) -> Column:
     none = F.array().cast("array<string>")
     words = lambda v: F.transform(F.coalesce(v, none), lambda x: T.author_tokens(x))

@@ -155,3 +155,15 @@ def test_lookup_by_steps_is_the_ranking_of_all_pairs(spark):
     for least in (0.3, 0.5, 0.75):
         want = {(tuple(x[0]), tuple(y[0])) for x in a.collect() for y in b.collect() if score(set(x[0]), set(y[0])) >= least}
         assert {(tuple(r["q"]), tuple(r["c"])) for r in C.similar_sets(a, b, least).collect()} == want and want
+
+
+def test_author_matches_is_author_match_of_each_group(spark):
+    from folioforge.functions import metrics as M
+
+    gold = spark.createDataFrame([(1, 1, "Ana Lima"), (2, 1, "LIMA, A."), (3, 2, "Ana Lima"), (4, 1, ""), (5, 1, None), (6, None, "Lima"), (7, 1, "Souza dos"), (8, 3, "Lima"), (1, 1, "Ana Lima")], "id long, g int, name string")
+    pred = spark.createDataFrame([(1, "lima souza"), (1, "B. Lima"), (2, "Climate"), (2, None), (None, "Lima"), (1, "")], "g int, name string")
+    names = pred.groupBy("g").agg(F.collect_list("name").alias("names"))
+    want = gold.join(names, "g", "left").select("id", "g", "name", M.author_match(F.col("name"), F.coalesce("names", F.array().cast("array<string>"))).alias("hit"))
+    key = lambda r: (r["id"], str(r["name"]))
+    assert sorted(M.author_matches(gold, pred, ["g"]).collect(), key=key) == sorted(want.collect(), key=key)
+    assert {r["id"] for r in want.where("hit").collect()} == {1, 7}
