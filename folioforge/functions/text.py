@@ -174,13 +174,20 @@ def canonical_language(x: Column) -> Column:
     return let(F.lower(strip(x)), of)
 
 
-def score_abstract(x: Column) -> Column:
-    """How much a text looks like a whole abstract; minus infinity for blanks."""
+#: How abstracts begin.  A word ends where no letter of any script follows.
+ENGLISH_START = r"(?iuU)^\s*(?:an|a|in|we|this|the|abstract)\b"
+#: The same where words are of ASCII letters, as in SQL: ``Année`` begins with ``Ann``.
+ENGLISH_START_ASCII = r"(?i)^\s*(?:an|a|in|we|this|the|abstract)(?![A-Za-z0-9_])"
+
+
+def score_abstract(x: Column, start: str = ENGLISH_START, blank: float = float("-inf")) -> Column:
+    """How much a text looks like a whole abstract, by how it starts and its length;
+    ``blank`` for blanks."""
     one = lambda c, v: F.when(c, F.lit(v)).otherwise(F.lit(0.0))
     score = one(is_boilerplate(x), -5.0)
-    score = score + one(text_of(x).rlike(r"(?iuU)^\s*(?:an|a|in|we|this|the|abstract)\b"), 2.0) + one(text_of(x).rlike(r"(?iuU)^\s*(?:resumen|resumo)[:\s]"), -1.0)
+    score = score + one(text_of(x).rlike(start), 2.0) + one(text_of(x).rlike(r"(?iuU)^\s*(?:resumen|resumo)[:\s]"), -1.0)
     score = score + let(word_count(x), lambda n: F.least(n / F.lit(200.0), F.lit(1.0)) + one(n.between(50, 500), 1.0) + one(n < 30, -2.0) + one(n > 800, -1.0))
-    return F.when(strip(x) == "", F.lit(float("-inf"))).otherwise(score)
+    return F.when(strip(x) == "", F.lit(blank)).otherwise(score)
 
 
 def dehyphenate(x: Column) -> Column:
