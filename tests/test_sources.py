@@ -92,3 +92,22 @@ def test_layout_xml_is_made_after_the_only_shuffle(spark, sf_dir):
     plan = _alto(spark, sf_dir)._jdf.queryExecution().sparkPlan().toString()
     made = _alto(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "CONTENT=" in plan and made.count("Exchange hashpartitioning") == 1
+
+
+def test_readers_get_batches_of_bounded_bytes(spark):
+    from folioforge.functions.udf import BATCH_BYTES, pandas_udf
+
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.unset(name)
+    try:
+        size = pandas_udf("long")(lambda x: x.str.len().groupby(x.index * 0).transform("sum"))
+        df = spark.range(0, 300, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("x"))
+        assert df.select(xml.read_tei_header(F.concat(F.lit("<a>"), "x", F.lit("</a>")))).count() == 300
+        assert int(spark.conf.get(name)) == BATCH_BYTES
+        assert df.select(size(F.col("x")).alias("n")).agg(F.max("n")).first()[0] <= 2 * BATCH_BYTES
+        spark.conf.set(name, "1234567")  # a session's own bound stays
+        df.select(size(F.col("x")))
+        assert spark.conf.get(name) == "1234567"
+    finally:
+        spark.conf.set(name, before)
