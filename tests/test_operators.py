@@ -167,3 +167,32 @@ def test_author_matches_is_author_match_of_each_group(spark):
     key = lambda r: (r["id"], str(r["name"]))
     assert sorted(M.author_matches(gold, pred, ["g"]).collect(), key=key) == sorted(want.collect(), key=key)
     assert {r["id"] for r in want.where("hit").collect()} == {1, 7}
+
+
+def test_assemble_streams_documents_of_many_batches(spark):
+    rnd = random.Random(3)
+    texts = ["Figure 1. A river and its stones.", "1. Rivers", "Table 2. Numbers of stones.", "References", "[1] Lima A. On the small rivers of the north.", "Introduction", "goes on here"]
+    rows = [(d, i, rnd.choice(texts), rnd.randint(0, 2), 72.0 * rnd.randint(1, 3), 20.0 * rnd.randint(1, 30), rnd.choice([9.0, 14.0, None]), rnd.random() < 0.3) for d in range(40) for i in range(rnd.randint(1, 12))]
+    rnd.shuffle(rows)
+    names = "record_id pos text page x y font_size bold".split()
+    df = spark.createDataFrame(rows, "record_id long, pos int, text string, page int, x double, y double, font_size double, bold boolean")
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(limit)
+    spark.conf.set(limit, "7")
+    try:
+        made = A.assemble(df)
+        got = sorted((r["record_id"], r["kind"], r["n"], r["text"], r["page"], r["x"], r["y"]) for r in made.collect())
+    finally:
+        spark.conf.set(limit, usual)
+    want = [(d, r["kind"], r["n"], r["text"], r["page"], r["x"], r["y"]) for d in range(40) for r in A.candidates_of(A.Document([dict(zip(names, v)) for v in rows if v[0] == d]))]
+    assert got == sorted(want) and len({r[1] for r in got}) == 4
+    assert "FlatMapGroupsInPandas" not in made._jdf.queryExecution().executedPlan().toString()
+
+
+def test_the_line_below_is_the_nearest_of_all(spark):
+    rnd = random.Random(4)
+    doc = A.Document([dict(pos=i, text="t", page=rnd.randint(0, 1), x=float(rnd.randint(0, 60)), y=float(rnd.randint(0, 20))) for i in range(200)])
+    for i, a in enumerate(doc.lines):
+        near = [(o.y, j) for j, o in enumerate(doc.lines) if o.page == a.page and o.y > a.y and abs(o.x - a.x) <= 24]
+        assert doc.below(i) == (min(near)[1] if near else None)
+    assert set(doc.downwards) == {0, 1}
