@@ -35,7 +35,9 @@ def _sides(gold: Column, pred: Column, body: Callable[[Column, Column], Column])
 
 
 def _no_blank(values: Column, key: Callable[[Column], Column]) -> Column:
-    return F.filter(F.transform(F.coalesce(values, F.array().cast("array<string>")), lambda v: key(v)), lambda v: v != "")
+    some, each = F.coalesce(values, F.array().cast("array<string>")), lambda x: F.transform(x, lambda v: key(v))
+    keyed = T.let(some, lambda x: F.when(T.all_normal(x), x).otherwise(each(x))) if key is T.normalize_text else each(some)
+    return F.filter(keyed, lambda v: v != "")
 
 
 def set_pr(gold: Column, pred: Column) -> Column:

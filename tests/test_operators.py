@@ -196,3 +196,15 @@ def test_the_line_below_is_the_nearest_of_all(spark):
         near = [(o.y, j) for j, o in enumerate(doc.lines) if o.page == a.page and o.y > a.y and abs(o.x - a.x) <= 24]
         assert doc.below(i) == (min(near)[1] if near else None)
     assert set(doc.downwards) == {0, 1}
+
+
+def test_normal_text_is_the_same_by_character_and_by_array(spark):
+    import re
+
+    every = [chr(i) for i in [*range(0x3000), *range(0xFF00, 0xFFFF), *range(0x10000, 0x10FFFF, 997), 0x10FFFF]]
+    df = spark.createDataFrame([(c,) for c in every], "c string")
+    got = df.select("c", (~F.col("c").rlike(T.ABNORMAL)).alias("a"), (~F.col("c").rlike(T.ABNORMAL_WORD)).alias("w"), T.all_normal(F.array(F.lit("x"), F.col("c"), F.lit(None))).alias("n")).collect()
+    assert [(r["a"], r["w"], r["n"]) for r in got] == [(bool(re.fullmatch("[a-z0-9' ]", r["c"])), bool(re.fullmatch("[a-z0-9']", r["c"])), bool(re.fullmatch("[a-z0-9']", r["c"]))) for r in got]
+    rows = [(["a", "b", "", None, "a"], ["b", "C"]), (["É a", "b"], ["a", " B "]), ([], ["a"]), (None, ["a"])]
+    out = spark.createDataFrame(rows, "g array<string>, p array<string>").select(M.keyword_pr(F.col("g"), F.col("p")).alias("m")).collect()
+    assert [None if r["m"] is None else (r["m"]["p"], r["m"]["r"]) for r in out] == [(0.5, 0.5), (0.5, 0.5), None, None]  # of "É a" a space is left
