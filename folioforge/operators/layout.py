@@ -36,21 +36,32 @@ def repeated_keys(lines: DataFrame, min_pages: int = 3) -> DataFrame:
     return lines.select("record_id", key.alias("key"), page(lines).alias("_p")).where("key != ''").groupBy("record_id", "key").agg(F.count_distinct("_p").alias("_n")).where(F.col("_n") >= min_pages).select("record_id", "key")
 
 
+def _judged(lines: DataFrame, drop_identifiers: bool) -> DataFrame:
+    """The lines with what :func:`_furniture` asks of them: ``_bare``, furniture by
+    itself; ``_often``, furniture where it recurs; ``_key``, a digest of its key, and
+    ``_page``.  These are made before lines travel, so the text need not."""
+    t, x, y = F.col("_t"), number(lines, "x"), number(lines, "y")
+    xs, ys = scale(lines, "page_w", 612.0), scale(lines, "page_h", 792.0)
+    often = ((y < 65 * ys) | (y > 720 * ys) | (F.length(t) < 90)) & (t != "") & ~t.rlike(T.SECTION_ANCHOR) & F.col("record_id").isNotNull()
+    bare = (t == "") | t.rlike(r"(?U)^[\W_]+$") | t.rlike(r"(?U)^[\divxIVX]+$") | t.rlike(FURNITURE) | t.rlike(r"(?i)^doi\s*:?$")
+    bare = bare | (x < 60 * xs) & t.rlike(r"(?U)^[\dA-Za-z.:-]{1,6}$") | (y < 32 * ys) & (F.length(t) < 180) | (y > 760 * ys) & (F.length(t) < 100)
+    if drop_identifiers:
+        bare = bare | (F.length(t) < 180) & t.rlike(IDENTIFIER)
+    return lines.withColumn("_t", T.norm_ws(F.col("text"))).select(*lines.columns, bare.alias("_bare"), often.alias("_often"), F.md5(T.fold_case(t)).alias("_key"), page(lines).alias("_page"))
+
+
+def _furniture(min_pages: int) -> Column:
+    """Whether a judged line is furniture, among the lines that there are."""
+    again = F.size(F.collect_set("_page").over(Window.partitionBy("record_id", "_key"))) >= min_pages
+    return F.col("_bare") | F.col("_often") & again
+
+
 def prune(lines: DataFrame, max_page: int | None = None, drop_identifiers: bool = False, min_pages: int = 3) -> DataFrame:
     """The lines without page furniture: blanks, page numbers, banners, running
     heads and feet, margin marks.  Headings of back sections stay however often
     they recur.  Repetition is counted over all pages."""
-    keys = repeated_keys(lines, min_pages).withColumn("_again", F.lit(True)).withColumnsRenamed({"key": "_key"})
-    t, x, y = T.norm_ws(F.col("text")), number(lines, "x"), number(lines, "y")
-    xs, ys = scale(lines, "page_w", 612.0), scale(lines, "page_h", 792.0)
-    df = lines.withColumn("_key", T.support_key(F.col("text"))).join(keys, ["record_id", "_key"], "left")
-    again = F.coalesce(F.col("_again"), F.lit(False)) & ((y < 65 * ys) | (y > 720 * ys) | (F.length(t) < 90)) & ~t.rlike(T.SECTION_ANCHOR)
-    furniture = (t == "") | t.rlike(r"(?U)^[\W_]+$") | t.rlike(r"(?U)^[\divxIVX]+$") | t.rlike(FURNITURE) | t.rlike(r"(?i)^doi\s*:?$")
-    furniture = furniture | again | (x < 60 * xs) & t.rlike(r"(?U)^[\dA-Za-z.:-]{1,6}$") | (y < 32 * ys) & (F.length(t) < 180) | (y > 760 * ys) & (F.length(t) < 100)
-    if drop_identifiers:
-        furniture = furniture | (F.length(t) < 180) & t.rlike(IDENTIFIER)
-    out = df.where(~furniture)
-    out = out if max_page is None else out.where(page(lines) <= max_page)
+    out = _judged(lines, drop_identifiers).withColumn("_drop", _furniture(min_pages)).where("not _drop")
+    out = out if max_page is None else out.where(F.col("_page") <= max_page)
     return out.select(lines.columns)
 
 
@@ -69,10 +80,11 @@ def front_matter(lines: DataFrame, max_lines: int = 200, max_page: int = 5) -> D
 
 def front_matter_evidence(lines: DataFrame, max_lines: int = 200, max_page: int = 5, drop_identifiers: bool = False) -> DataFrame:
     """The same, pruned; a document of which nothing is left stays as it was."""
-    front = front_matter(lines, 1 << 30, max_page)
-    kept = prune(front, drop_identifiers=drop_identifiers)
-    bare = front.join(kept.select("record_id").distinct(), "record_id", "left_anti").select(lines.columns)
-    return _limited(kept.unionByName(bare), max_lines)
+    of = Window.partitionBy("record_id")  # all windows below lie in it: lines travel once
+    df = _judged(lines, drop_identifiers).withColumn("_front", F.col("_page") <= max_page)
+    front = df.withColumn("_any", F.max("_front").over(of)).where("_front or not _any")
+    kept = front.withColumn("_keep", ~_furniture(3)).withColumn("_some", F.max("_keep").over(of)).where("_keep or not _some")
+    return _limited(kept, max_lines).select(lines.columns)
 
 
 def numbered(lines: DataFrame) -> DataFrame:

@@ -208,3 +208,23 @@ def test_normal_text_is_the_same_by_character_and_by_array(spark):
     rows = [(["a", "b", "", None, "a"], ["b", "C"]), (["É a", "b"], ["a", " B "]), ([], ["a"]), (None, ["a"])]
     out = spark.createDataFrame(rows, "g array<string>, p array<string>").select(M.keyword_pr(F.col("g"), F.col("p")).alias("m")).collect()
     assert [None if r["m"] is None else (r["m"]["p"], r["m"]["r"]) for r in out] == [(0.5, 0.5), (0.5, 0.5), None, None]  # of "É a" a space is left
+
+
+def test_front_evidence_and_pruning_move_lines_once(spark):
+    rnd = random.Random(6)
+    texts = ["Running head", "A line of the text that is long enough to stay where it is in any case, as it has more than ninety characters.", "", "12", "References", "bioRxiv preprint", "ß Strasse", "SS STRASSE"]
+    rows = [(d, i, rnd.choice(texts[:3] if d % 4 else texts), i // 3 if d % 5 else 9, rnd.choice([10.0, 300.0, 770.0]), 72.0) for d in range(30) for i in range(rnd.randint(1, 20))]
+    df = spark.createDataFrame(rows, "record_id long, pos int, text string, page int, y double, x double")
+    from folioforge.plans import enrich
+
+    def kept(own, front):
+        own = [A.Line.of(dict(pos=i, text=t, page=p, y=y, x=x)) for _, i, t, p, y, x in own]
+        own = ([n for n in own if n.page <= 5] or own) if front else own
+        often = enrich.again(own)
+        good = [n.pos for n in own if not enrich.is_furniture(n, often, False)]
+        return good or ([n.pos for n in own] if front else [])
+
+    for front, made in ((True, L.front_matter_evidence(df)), (False, L.prune(df))):
+        want = {(d, i) for d in range(30) for i in kept([r for r in rows if r[0] == d], front)}
+        assert {(r["record_id"], r["pos"]) for r in made.collect()} == want and made.columns == df.columns
+        assert made.select("*")._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
