@@ -6,15 +6,17 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from difflib import SequenceMatcher
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as T
-from ..functions.udf import pandas_udf
+from ..functions.udf import batched, pandas_udf
 
 
 def keep_first(df: DataFrame, by: list[str], key: Column, pos: str = "pos") -> DataFrame:
@@ -60,20 +62,117 @@ def argmax(df: DataFrame, by: list[str], score: str, pos: str = "pos") -> DataFr
     return best.select(*by, *(F.col(f"_b.{c}").alias(c) for c in rest))
 
 
+#: Keys of a group up to which all are compared, as an index takes longer.
+FEW_KEYS = 32
+
+
+def _not_contained(rows: list[tuple[str, str, object]], ratio: float) -> list[int]:
+    """Of rows (key, distinct words joined, position), the indices of the first of each key
+    that isn't inside another or contained in one with more words.
+
+    Where a key stands, its inner words stand as words; and a row that shares the
+    ratio of words has one of the rarest.  So only rows that have such a word are
+    looked at.
+    """
+    own: dict[str, list[int]] = {}
+    for i, r in enumerate(rows):
+        if r[0]:
+            own.setdefault(r[0], []).append(i)
+    keys = list(own)
+    sets = [frozenset(rows[own[k][0]][1].split()) for k in keys]
+    few, all_keys = len(keys) <= FEW_KEYS, range(len(keys))
+    by_part: dict[str, list[int]] = {}
+    by_word: dict[str, list[int]] = {}
+    if not few:
+        for n, (k, w) in enumerate(zip(keys, sets)):
+            for x in set(k.split(" ")):
+                by_part.setdefault(x, []).append(n)
+            for x in w:
+                by_word.setdefault(x, []).append(n)
+    every, starts, at = "\n".join(keys), [], 0
+    for k in keys:
+        starts.append(at)
+        at += len(k) + 1
+
+    def inside(n: int) -> bool:
+        k = keys[n]
+        inner = () if few else k.split(" ")[1:-1]
+        if not inner:
+            return every.find(k) != starts[n] or every.find(k, starts[n] + 1) >= 0
+        rarest = min((by_part[x] for x in inner), key=len)
+        return any(m != n and k in keys[m] for m in rarest)
+
+    def places(n: int) -> set:
+        """The positions of rows that contain it; two are as good as all."""
+        w, found, seen = sets[n], set(), set()
+        lost = next((m for m in range(len(w)) if (len(w) - m) / len(w) < ratio), len(w))  # of so many words a row has one
+        for some in [by_word[x] for x in sorted(w, key=lambda x: len(by_word[x]))[:lost]] if not few else [all_keys] if w else []:
+            for m in some:
+                if m != n and m not in seen and len(sets[m]) > len(w):
+                    seen.add(m)
+                    if len(w & sets[m]) / len(w) >= ratio:
+                        found.update(rows[i][2] for i in own[keys[m]])
+                        if len(found) > 1:
+                            return found
+        return found
+
+    kept = []
+    for n, k in enumerate(keys):
+        if not inside(n):
+            there = places(n)
+            left = own[k] if not there else [i for i in own[k] if {rows[i][2]} == there]
+            if left:
+                kept.append(min(left, key=lambda i: rows[i][2]))
+    return kept
+
+
 def without_contained(df: DataFrame, by: list[str], text: str = "text", pos: str = "pos", ratio: float = 0.9) -> DataFrame:
     """Of each group, the texts that aren't repeated, inside another or (by
-    ``ratio`` of their distinct words) contained in one with more words."""
-    base = df.withColumn("_key", F.lower(T.norm_ws(F.col(text)))).withColumn("_tokens", F.array_distinct(T.support_tokens(F.col("_key"))))
-    other = base.select(*by, F.col("_key").alias("_other"), F.col("_tokens").alias("_more"), F.col(pos).alias("_at"))
-    shared = F.size(F.array_intersect("_tokens", "_more"))
-    inside = (F.col("_key") != F.col("_other")) & F.contains(F.col("_other"), F.col("_key"))
-    near = (F.col(pos) != F.col("_at")) & (F.size("_tokens") > 0) & (F.size("_more") > F.size("_tokens")) & (shared / F.greatest(F.size("_tokens"), F.lit(1)) >= ratio)
-    on = [base[c] == other[c] for c in by]
-    condition = on[0]
-    for c in on[1:]:
-        condition = condition & c
-    kept = base.join(other, condition & (inside | near), "left_anti")
-    return keep_first(kept, by, F.col("_key"), pos).drop("_tokens")
+    ``ratio`` of their distinct words) contained in one with more words.  Groups are
+    sorted and streamed, so a group's size bounds what a task holds."""
+    names = df.columns
+    key = F.lower(T.norm_ws(F.col(text)))
+    base = df.repartition(*by).sortWithinPartitions(*by).withColumn("_key", key).withColumn("_tokens", F.array_join(F.array_distinct(T.support_tokens(F.col("_key"))), " "))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple[pa.RecordBatch, np.ndarray]] = []  # with what stays of each
+        group: list[tuple[np.ndarray, int]] = []  # where the open group's rows stand
+        rows: list[tuple[str, str, object]] = []
+        now = None
+
+        def close() -> None:
+            alone = now is not None and None in now  # an unknown group's rows aren't compared
+            for i in _first_of_each(rows) if alone else _not_contained(rows, ratio):
+                mask, j = group[i]
+                mask[j] = True
+
+        for b in batches:
+            mask = np.zeros(b.num_rows, bool)
+            fields = [b.column(b.schema.get_field_index(c)).to_pylist() for c in ("_key", "_tokens", pos)]
+            for j, (of, row) in enumerate(zip(zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in by)), zip(*fields))):
+                if of != now:
+                    close()
+                    group, rows, now = [], [], of
+                group.append((mask, j))
+                rows.append(row)
+            held.append((b.select(names), mask))
+            if group and group[0][0] is mask:  # the open group began here: what is before is done
+                for piece, keep in held[:-1]:
+                    yield piece.filter(pa.array(keep))
+                held = held[-1:]
+        close()
+        for piece, keep in held:
+            yield piece.filter(pa.array(keep))
+
+    return batched(base).mapInArrow(run, df.schema)
+
+
+def _first_of_each(rows: list[tuple[str, str, object]]) -> list[int]:
+    first: dict[str, int] = {}
+    for i, (k, _, p) in enumerate(rows):
+        if k and (k not in first or p < rows[first[k]][2]):
+            first[k] = i
+    return list(first.values())
 
 
 def within_budget(df: DataFrame, by: list[str], size: Column, most: int, pos: str = "pos") -> DataFrame:

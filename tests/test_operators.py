@@ -228,3 +228,43 @@ def test_front_evidence_and_pruning_move_lines_once(spark):
         want = {(d, i) for d in range(30) for i in kept([r for r in rows if r[0] == d], front)}
         assert {(r["record_id"], r["pos"]) for r in made.collect()} == want and made.columns == df.columns
         assert made.select("*")._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
+
+
+def test_containment_is_that_of_all_pairs(spark):
+    rnd = random.Random(8)
+    words = "river water stone north fish deep old new small great 12 a".split()
+
+    def text():
+        return " ".join(rnd.choice(words) for _ in range(rnd.choice([1, 2, 3, 5, 12, 25])))
+
+    rows = []
+    for g in [*range(12), None]:
+        own = [text() for _ in range(rnd.choice([3, 20, 90]))]
+        own += [rnd.choice(own)[rnd.randint(0, 4) :][: rnd.randint(1, 40)] for _ in range(len(own) // 2)] + [" ", rnd.choice(own).upper()]
+        rows += [(g, p, t) for p, t in enumerate(own)]
+    rows += [(0, 1, text()) for _ in range(8)]  # positions that recur
+    rnd.shuffle(rows)
+    key = lambda t: " ".join(t.lower().split())
+    tokens = lambda t: {w for w in key(t).split() if not w.isdigit()}
+
+    def lost(a, b):
+        (_, p, t), (_, q, u) = a, b
+        x, y = tokens(t), tokens(u)
+        return key(t) != key(u) and key(t) in key(u) or p != q and bool(x) and len(y) > len(x) and len(x & y) / len(x) >= 0.9
+
+    want = {}
+    for r in rows:
+        if key(r[2]) and (r[0] is None or not any(lost(r, o) for o in rows if o[0] == r[0])):
+            k = (r[0], key(r[2]))
+            want[k] = min(want.get(k, r[1]), r[1])
+    df = spark.createDataFrame(rows, "g int, pos int, text string").withColumn("more", F.lit("x"))
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    usual = spark.conf.get(limit)
+    spark.conf.set(limit, "13")
+    try:
+        out = C.without_contained(df, ["g"])
+        got = out.collect()
+    finally:
+        spark.conf.set(limit, usual)
+    assert {(r["g"], key(r["text"])): r["pos"] for r in got} == want and len(got) == len(want) and out.columns == df.columns
+    assert "Join" not in out._jdf.queryExecution().executedPlan().toString()
